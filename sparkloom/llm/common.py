@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,17 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, SLICE_ROWS)
 
 
+def slices_by_bytes(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about most bytes in a string column, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).cumsum()
+    at = 0
+    while at < batch.num_rows:
+        done = int(sizes[at - 1]) if at else 0
+        to = max(at + 1, int(sizes.searchsorted(done + most, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def make_path(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)

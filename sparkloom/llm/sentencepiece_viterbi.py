@@ -25,17 +25,19 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.llm.common import slices
+from sparkloom.llm.common import slices, slices_by_bytes
 
 SPACE = "▁"
-CACHE_WORDS, CACHE_PAIRS = 300_000, 300_000
+CACHE_WORDS, CACHE_PAIRS = 250_000, 500_000
+SLICE_BYTES = 2 << 20
 #: Types of pieces in a model file (fixed values of the format).
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-START, UNCOVERED, LOWEST = (0, -1), (1, -1), float("-inf")
+LOWEST = float("-inf")
 
 
 def default_model_path() -> str:
@@ -107,11 +109,22 @@ class AhoCorasick:
         return found
 
 
+class Lattice:
+    """For each position of a word: the automaton's state, the best score, and the last piece of the best segmentation."""
+
+    def __init__(self) -> None:
+        self.states, self.best, self.lengths, self.keys = [0], [0.0], [0], [-1]
+
+    def cut(self, n: int) -> None:
+        for x in (self.states, self.best, self.lengths, self.keys):
+            del x[n + 1 :]
+
+
 @dataclass
 class Codec:
     model: Pieces
     cache: dict[str, tuple[int, ...]] = field(default_factory=dict)
-    pairs: dict[tuple[int, int], bool] = field(default_factory=dict)
+    pairs: dict[int, bool] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         pieces = self.model.pieces
@@ -122,7 +135,12 @@ class Codec:
         self.unknown = next((key for key, p in enumerate(pieces) if p[2] == UNKNOWN), 0)
         scores = [s for _, s, kind in pieces if kind == NORMAL]
         self.unknown_score = (min(scores) if scores else 0.0) - 10.0
-        self.outputs: dict[int, list[tuple[int, int]]] = {}
+        self.odd = {key for key, p in enumerate(pieces) if p[2] not in (NORMAL, USER)}
+        self.scores = [p[1] for p in pieces]
+        self.texts = [p[0].replace(SPACE, " ") for p in pieces]
+        self.steps = [dict(x) for x in self.automaton.next]
+        self.found: list[list[tuple[int, int]] | None] = [None] * len(self.steps)
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __getstate__(self) -> Pieces:
         return self.model
@@ -144,61 +162,120 @@ class Codec:
         return re.findall(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", text)
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        cache = self.cache
-        for word in self.words(self.normalise(text)):
-            ids = cache.get(word)
-            if ids is None:
-                ids = tuple(self.viterbi(word))
-                if len(cache) >= CACHE_WORDS:
-                    cache.clear()
-                if len(word) <= 64:
-                    cache[word] = ids
-            out += ids
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """The ids of each text. New words are segmented in order, so that each starts where it leaves the one before."""
+        parted = [self.words(self.normalise(text)) for text in texts]
+        known = self.cache
+        missing = set().union(*parted).difference(known)
+        if missing:
+            fresh = {word: ids for word in missing if (ids := self.older.get(word)) is not None}
+            self.segment(sorted(missing.difference(fresh)), fresh)
+            if len(known) + len(fresh) > CACHE_WORDS:
+                self.older = known
+                known = {word: known[word] for words in parted for word in words if word in known}
+            known |= fresh
+            self.cache = known if len(known) <= CACHE_WORDS else {}
+        out = []
+        for words in parted:
+            ids: list[int] = []
+            for word in words:
+                ids += known[word]
+            out.append(ids)
         return out
 
-    def viterbi(self, word: str) -> list[int]:
-        """The best segmentation: one pass over the automaton, relaxing each position by the pieces that end there."""
-        bpe, scores = self.model.kind == BPE, self.model.pieces
-        nxt, fail, outputs, pairs = self.automaton.next, self.automaton.fail, self.outputs, self.pairs
-        best: list[float] = [0.0]
-        last: list[tuple[int, int]] = [START]
-        state = end = 0
-        for c in word:
+    def segment(self, words: list[str], into: dict[str, tuple[int, ...]]) -> None:
+        """Viterbi over sorted words; the positions of a prefix shared with the word before are kept as they are."""
+        relax = self.relax_bpe if self.model.kind == BPE else self.relax_unigram
+        lattice = Lattice()
+        before = ""
+        for word in words:
+            same = 0
+            for x, y in zip(word, before, strict=False):
+                if x != y:
+                    break
+                same += 1
+            lattice.cut(same)
+            relax(word[same:], lattice)
+            before = word
+            out: list = []
+            at, lengths, keys = len(word), lattice.lengths, lattice.keys
+            while at:
+                n, key = lengths[at], keys[at]
+                out.append((key,) if key >= 0 else self.fallback(word[at - n : at]))
+                at -= n
+            into[word] = tuple(x for ids in reversed(out) for x in ids)
+
+    def step(self, state: int, c: str) -> int:
+        """The automaton's next state, by failure links; remembered, so that the next such step is one lookup."""
+        nxt, fail, at = self.automaton.next, self.automaton.fail, state
+        to = nxt[at].get(c)
+        while to is None and at:
+            at = fail[at]
+            to = nxt[at].get(c)
+        self.steps[state][c] = to = to or 0
+        return to
+
+    def ending(self, state: int) -> list[tuple[int, int]]:
+        """(length, key) of the pieces that end in a state, longest first; of a BPE model those that merging can make."""
+        found = self.automaton.outputs(state)
+        if self.model.kind == BPE:
+            found = [(n, key) for n, key in found if self.merge(self.model.pieces[key][0]) == [key]]
+        self.found[state] = found
+        return found
+
+    def relax_unigram(self, text: str, lattice: Lattice) -> None:
+        steps, outputs, scores = self.steps, self.found, self.scores
+        best, lengths, keys, states = lattice.best, lattice.lengths, lattice.keys, lattice.states
+        state, end = states[-1], len(states) - 1
+        for c in text:
             end += 1
-            to = nxt[state].get(c)
-            while to is None and state:
-                state = fail[state]
-                to = nxt[state].get(c)
-            state = to or 0
-            found = outputs.get(state)
+            to = steps[state].get(c)
+            state = self.step(state, c) if to is None else to
+            found = outputs[state]
             if found is None:
-                found = outputs[state] = [(n, key) for n, key in self.automaton.outputs(state) if not bpe or self.merge(self.model.pieces[key][0]) == [key]]
-            top, piece, single = LOWEST, UNCOVERED, False
+                found = self.ending(state)
+            top, length, piece = LOWEST, 1, -1
             for n, key in found:
-                if bpe:
-                    left = last[end - n][1]
-                    apart = True if left < 0 else pairs.get((left, key))
-                    if apart is None:
-                        apart = self.stays_apart(left, key)
-                    if apart:
-                        top, piece = best[end - n] + scores[key][1], (n, key)
-                        break
-                else:
-                    single |= n == 1
-                    if best[end - n] + scores[key][1] > top:
-                        top, piece = best[end - n] + scores[key][1], (n, key)
-            if top == LOWEST or not bpe and not single and best[end - 1] + self.unknown_score > top:
-                top, piece = best[end - 1] + self.unknown_score, UNCOVERED
+                score = best[end - n] + scores[key]
+                if score > top:
+                    top, length, piece = score, n, key
+            if not found or found[-1][0] > 1:  # no piece is this character: it may be unknown
+                score = best[end - 1] + self.unknown_score
+                if score > top:
+                    top, length, piece = score, 1, -1
             best.append(top)
-            last.append(piece)
-        out: list[list[int]] = []
-        at = len(word)
-        while at:
-            n, key = last[at]
-            out.append([key] if key >= 0 else self.fallback(word[at - n : at]))
-            at -= n
-        return [x for ids in reversed(out) for x in ids]
+            states.append(state)
+            lengths.append(length)
+            keys.append(piece)
+
+    def relax_bpe(self, text: str, lattice: Lattice) -> None:
+        steps, outputs, pairs = self.steps, self.found, self.pairs
+        lengths, keys, states = lattice.lengths, lattice.keys, lattice.states
+        state, end = states[-1], len(states) - 1
+        for c in text:
+            end += 1
+            to = steps[state].get(c)
+            state = self.step(state, c) if to is None else to
+            found = outputs[state]
+            if found is None:
+                found = self.ending(state)
+            length, piece = 1, -1
+            for n, key in found:
+                left = keys[end - n]
+                if left < 0:  # the word's start or a character that has no piece: nothing merges over it
+                    length, piece = n, key
+                    break
+                apart = pairs.get(left << 20 | key)
+                if apart is None:
+                    apart = self.stays_apart(left, key)
+                if apart:
+                    length, piece = n, key
+                    break
+            states.append(state)
+            lengths.append(length)
+            keys.append(piece)
 
     def fallback(self, text: str) -> list[int]:
         if self.model.byte_fallback and len(self.bytes) == 256:
@@ -210,7 +287,7 @@ class Codec:
         if len(self.pairs) >= CACHE_PAIRS:
             self.pairs.clear()
         pieces = self.model.pieces
-        apart = self.pairs[left, key] = self.merge(pieces[left][0] + pieces[key][0]) == [left, key]
+        apart = self.pairs[left << 20 | key] = self.merge(pieces[left][0] + pieces[key][0]) == [left, key]
         return apart
 
     def merge(self, text: str) -> list[int]:
@@ -225,6 +302,9 @@ class Codec:
         return [self.ids.get(p, -1) for p in parts]
 
     def decode(self, ids: list[int]) -> str:
+        if not self.odd.intersection(ids):
+            text = "".join(map(self.texts.__getitem__, ids))
+            return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
         pieces, out, pending = self.model.pieces, [], bytearray()
         for key in ids:
             text, _, kind = pieces[key]
@@ -254,22 +334,25 @@ def codec_of(model: Pieces, name: str) -> Codec:
 
 
 def encode(spark: SparkSession, docs: DataFrame, model_path: str | None = None) -> DataFrame:
-    """doc_id, ids (array of piece ids), n_pieces, n_bytes (byte pieces), ids_sha256 (of the ids, comma-joined), round_trip (decoding gives the text)."""
+    """doc_id, ids (array of piece ids), n_pieces, n_bytes (byte pieces), ids_sha256 (of the ids as little-endian 32-bit integers), round_trip (decoding gives the text)."""
     path = model_path or default_model_path()
     shared = spark.sparkContext.broadcast(Pieces.load(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value, path)
-        low, high = (min(codec.bytes.values()), max(codec.bytes.values())) if codec.bytes else (0, -1)
+        byte_ids = np.array(sorted(codec.bytes.values()), np.int32)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices_by_bytes(batch, 1, SLICE_BYTES):
+                texts = part.column(1).to_pylist()
+                coded = iter(codec.encode_all([t for t in texts if t is not None]))
                 rows = []
-                for text in part.column(1).to_pylist():
+                for text in texts:
                     if text is None:
                         rows.append((None, 0, 0, None, None))
                         continue
-                    ids = codec.encode(text)
-                    rows.append((ids, len(ids), sum(low <= i <= high for i in ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), codec.decode(ids) == text))
+                    ids = next(coded)
+                    packed = np.fromiter(ids, np.int32, len(ids))
+                    rows.append((packed, len(ids), int(np.isin(packed, byte_ids).sum()), hashlib.sha256(packed.tobytes()).hexdigest(), codec.decode(ids) == text))
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(cols[0], pa.list_(pa.int32())), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.string()), pa.array(cols[4], pa.bool_())],
