@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -67,6 +68,12 @@ def slices_by_bytes(batch: pa.RecordBatch, column: int, most: int) -> Iterator[p
         at = to
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files and broadcasts of plans that nothing refers to any more, now and not at some later collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def make_path(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(target)

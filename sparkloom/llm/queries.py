@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.llm import decontaminate, exact_dedup, minmax_dedup, sentencepiece_viterbi, substring_dedup, url_filter
+from sparkloom.llm import decontaminate, exact_dedup, minmax_dedup, ngram_lm, sentencepiece_viterbi, substring_dedup, url_filter
 from sparkloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.op5(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.op6(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.op7(spark, table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_minmax_near_dedup, op4_substring_dedup, op5_benchmark_decontamination, op7_exact_dedup, op9_url_filter, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_minmax_near_dedup, op4_substring_dedup, op5_benchmark_decontamination, op6_lm_scoring, op7_exact_dedup, op9_url_filter, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
