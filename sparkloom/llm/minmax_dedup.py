@@ -7,8 +7,8 @@ probability of the Jaccard similarity, each without bias. BANDS bands of ROWS va
 similarity of 0.85 a pair is missed with a probability of (1 - 0.85^4)^20, under one in a million.
 
 Documents with equal sets are one class, found by aggregation: copies cost one row. Between classes, each band's
-bucket tests its members against pivots (the bucket's least id first, then one for each of SALTS parts of the bucket
-at a time) and never all its pairs at once; links are confirmed on the full sets, components are updated, and the
+bucket tests its members against pivots (the bucket's least id first, then the least of each of 16, 256, ... parts of
+the bucket) and never all its pairs at once; links are confirmed on the full sets, components are updated, and the
 next round takes only buckets whose untested members still lie in different components. So work within a large
 group of near copies stays in proportion to its size, no candidate that could join two components is left out, and
 the rounds end by themselves. A pivot with many members is sent to several tasks, its members dealt among them.
@@ -28,12 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import join_groups, slices, written
+from sparkloom.llm.common import join_groups, release, slices, written
 from sparkloom.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 85
 PERMUTATIONS, BANDS, ROWS = 40, 20, 4
-SALTS = 32
+SALT_STEP = 16
 PIVOT_LOAD = 2000
 NO_ID = -(1 << 63)
 BLOCK = 1 << 14
@@ -81,6 +81,10 @@ def bands(found: np.ndarray) -> np.ndarray:
     return _mixed((signature * MIX[:ROWS]).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * MIX[ROWS]).view(np.int64)
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("binary").alias("text"))
+
+
 def sketch(docs: DataFrame) -> DataFrame:
     """id, n, set_a and set_b (128 bits that stand for the set), bands (empty for an empty set)."""
 
@@ -102,8 +106,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                     ["id", "n", "set_a", "set_b", "bands"],
                 )
 
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "id long, n long, set_a long, set_b long, bands array<long>")
+    return _texts(docs).mapInArrow(run, "id long, n long, set_a long, set_b long, bands array<long>")
 
 
 def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
@@ -112,10 +115,9 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
     return 100 * both >= threshold * (len(a) + len(b) - both)
 
 
-def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirm(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs (member, pivot) whose full sets are linked, as (u, v)."""
-    spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("binary").alias("text"))
+    spark = texts.sparkSession
     parts = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / PIVOT_LOAD).cast("int").alias("parts"))
     members = pairs.join(parts.hint("merge"), "pivot").select("pivot", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"), F.col("member").alias("id"))
     pivots = parts.select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("pivot").alias("id"))
@@ -145,32 +147,38 @@ def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def near_components(docs: DataFrame) -> DataFrame:
     """id (NO_ID for null), n_shingles, component_id: one row for each row of docs."""
+    spark = docs.sparkSession
     found = written(sketch(docs), "sketches")
     key = F.struct("n", "set_a", "set_b")
     classes = written(found.where("n > 0").groupBy("n", "set_a", "set_b").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands")), "classes")
     placed = classes.select(F.explode("bands").alias("bucket"), F.col("class").alias("id"), "n").distinct()
     shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = written(placed.join(shared.hint("merge"), "bucket").select("bucket", "id", "n"), "buckets")
-    edges = None
     # Classes that share an id (rows that repeat a doc_id) are one node already.
     component = None
-    salts = 1
+    texts, narrowed, salts = _texts(docs), False, 1
     while True:
-        labelled = members.withColumn("c", F.col("id")) if component is None else members.join(component.hint("merge"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-        labelled = written(labelled, "labelled")
+        if component is None:
+            labelled = members.withColumn("c", F.col("id"))
+        else:
+            labelled = written(members.join(component.hint("merge"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"), "labelled")
         open_buckets = labelled.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("bucket")
         live = written(labelled.join(open_buckets.hint("merge"), "bucket"), "live")
         if live.isEmpty():
             break
+        if salts > 1 and not narrowed:  # later rounds need the texts of these documents only
+            texts = written(texts.join(live.select("id").distinct(), "id", "left_semi"), "texts")
+            narrowed = True
         pivots = live.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(salts)).alias("s")).agg(F.min(F.struct("id", "n", "c")).alias("p")).select("bucket", F.col("p.id").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.c").alias("pc"))
         pivots = written(pivots, "pivots")
         sizes_fit = 100 * F.least("n", "pn") >= THRESHOLD * F.greatest("n", "pn")
         pairs = written(live.join(pivots.hint("merge"), "bucket").where((F.col("c") != F.col("pc")) & sizes_fit).select(F.col("id").alias("member"), "pivot").distinct(), "pairs")
-        fresh = confirm(docs, pairs)
-        edges = written(fresh if component is None else fresh.unionByName(component.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))), "links")
-        component = components(edges)
+        links = written(confirm(texts, pairs), "links")
+        if not links.isEmpty():
+            component = components(links if component is None else links.unionByName(component.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))))
+        release(spark)
         members = written(live.join(pivots.select("bucket", F.col("pivot").alias("id")).hint("merge"), ["bucket", "id"], "left_anti").select("bucket", "id", "n"), "buckets")
-        salts = SALTS
+        salts *= SALT_STEP
     groups = classes.select("n", "set_a", "set_b", "class", "size")
     if component is None:
         groups = groups.withColumn("component_id", F.col("class"))
