@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.llm import decontaminate, exact_dedup, minmax_dedup, ngram_lm, sentencepiece_viterbi, substring_dedup, url_filter
+from sparkloom.llm import decontaminate, exact_dedup, line_dedup, minmax_dedup, ngram_lm, sentencepiece_viterbi, substring_dedup, token_counts, url_filter
 from sparkloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ def op1_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.op1(spark, table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.op2(spark, table(spark, sf_dir, "documents"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.op3(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.op4(spark, table(spark, sf_dir, "documents"))
 
@@ -41,8 +49,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_minmax_near_dedup, op4_substring_dedup, op5_benchmark_decontamination, op6_lm_scoring, op7_exact_dedup, op9_url_filter, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_minmax_near_dedup, op2_line_dedup, op3_token_counts, op4_substring_dedup, op5_benchmark_decontamination, op6_lm_scoring, op7_exact_dedup, op9_url_filter, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_minmax_near_dedup": minmax_dedup.ORACLE, "op4_substring_dedup": substring_dedup.ORACLE, "op5_benchmark_decontamination": decontaminate.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE, "op9_url_filter": url_filter.oracle()}
+    return {"op1_minmax_near_dedup": minmax_dedup.ORACLE, "op2_line_dedup": line_dedup.ORACLE, "op4_substring_dedup": substring_dedup.ORACLE, "op5_benchmark_decontamination": decontaminate.ORACLE, "op7_exact_dedup": exact_dedup.ORACLE, "op9_url_filter": url_filter.oracle()}
