@@ -26,15 +26,16 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node of edges (u, v) is either a centre or has one centre: one aggregation."""
+    roles = edges.select(F.col("u").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("leaf"), F.lit(1).alias("centre")))
+    return roles.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.max("centre").alias("centre")).where("leaf + centre > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of edges (u, v), u <> v; component is the least id reachable (the node itself included)."""
     now = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
-    mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    while mark[0]:
+    while not _settled(now):
         large = written(_star(both_ways(now), True).distinct(), "edges")
         now = written(_star(both_ways(large), False).distinct(), "edges")
-        after = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if after == mark:
-            break
-        mark = after
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

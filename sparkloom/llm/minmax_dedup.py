@@ -6,12 +6,20 @@ over the set are kept, so the signature has twice as many values as evaluations;
 probability of the Jaccard similarity, each without bias. BANDS bands of ROWS values each find candidates; at a
 similarity of 0.85 a pair is missed with a probability of (1 - 0.85^4)^20, under one in a million.
 
-Documents with equal sets are one class, found by aggregation: copies cost one row. Between classes, each band's
-bucket tests its members against pivots (the bucket's least id first, then the least of each of 16, 256, ... parts of
-the bucket) and never all its pairs at once; links are confirmed on the full sets, components are updated, and the
-next round takes only buckets whose untested members still lie in different components. So work within a large
-group of near copies stays in proportion to its size, no candidate that could join two components is left out, and
-the rounds end by themselves. A pivot with many members is sent to several tasks, its members dealt among them.
+Documents with equal sets are one class, found by aggregation: copies cost one row. Between classes, links are
+confirmed on the full sets, and pairs that can't join two components are not made:
+
+1. each bucket tests its members against its least id, and components are updated;
+2. in buckets that still hold several components, the shingles that one document alone has are counted. The document
+   with the fewest is the most central one, and the others are tested against it. A pair x, y of the bucket has at
+   most min(|x & p|, |y & p|) + min(x', y') shingles in common, p being the central document and x' what x shares
+   with anyone but p: in a large group of copies, each edited in its own way, this rules out all pairs but those
+   that share edits, and members that can reach no other are done with;
+3. what is left is tested against the most central documents of 16, 256, ... parts of the bucket, until the buckets'
+   untested members lie in one component each.
+
+Nothing is left out but by these exact bounds, and the rounds end by themselves. A pivot with many members is sent to
+several tasks, its members dealt among them.
 
 Null, empty and wordless texts have an empty set (n_shingles 0) and are linked with nothing. Rows that repeat a
 doc_id are one document that has the links of all of them. A null doc_id counts as the least id. An empty table gives
@@ -25,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import join_groups, release, slices, written
@@ -109,40 +117,63 @@ def sketch(docs: DataFrame) -> DataFrame:
     return _texts(docs).mapInArrow(run, "id long, n long, set_a long, set_b long, bands array<long>")
 
 
-def linked(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
-    """100 * intersection >= threshold * union, on the full sets."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= threshold * (len(a) + len(b) - both)
-
-
 def confirm(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs (member, pivot) whose full sets are linked, as (u, v)."""
-    spark = texts.sparkSession
+    """(u, v, nu, nv, common) of each of the pairs (member, pivot): sizes of the full sets and of their intersection."""
     parts = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / PIVOT_LOAD).cast("int").alias("parts"))
     members = pairs.join(parts.hint("merge"), "pivot").select("pivot", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"), F.col("member").alias("id"))
     pivots = parts.select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("pivot").alias("id"))
-    asked = members.unionByName(pivots)
-    rows = asked.join(texts, "id").select("pivot", "part", "id", "text")
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    rows = members.unionByName(pivots).join(texts, "id").select("pivot", "part", "id", "text")
+    n = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, base = None, []
         for batch in batches:
             for part in slices(batch):
-                us, vs = [], []
+                out = []
                 for pivot, salt, own, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     found = shingles(text)
                     if group != (pivot, salt):
                         group, base = (pivot, salt), []
                     if own == pivot:  # first in its group
                         base.append(found)
-                    elif any(linked(found, b) for b in base):
-                        us.append(own)
-                        vs.append(pivot)
-                yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+                    else:
+                        out += [(own, pivot, len(found), len(b), len(np.intersect1d(found, b, assume_unique=True))) for b in base]
+                cols = list(zip(*out, strict=True)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["u", "v", "nu", "nv", "common"])
 
     dealt = rows.repartition(n, "pivot", "part").sortWithinPartitions("pivot", "part", (F.col("id") != F.col("pivot")))
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(run, "u long, v long, nu long, nv long, common long")
+
+
+def private_counts(texts: DataFrame) -> DataFrame:
+    """(id, own): how many shingles of each document no other document of texts has; documents without any are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                sets = [shingles(t) for t in part.column(1).to_pylist()]
+                ids = np.repeat(part.column(0).to_numpy(), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], ["id", "s"])
+
+    rows = texts.select("id", "text").mapInArrow(run, "id long, s long")
+    return rows.groupBy("s").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+
+
+def may_link(common: Column, sizes: Column) -> Column:
+    """Whether so many common shingles reach the threshold for sets whose sizes add up to sizes."""
+    return (100 + THRESHOLD) * common >= THRESHOLD * sizes
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """Members of the buckets in which two components are left, without those that can reach no other member.
+
+    more is the most that a member can have in common with anyone: what it shares with the pivot and what else of it
+    is not its own.
+    """
+    spans = members.groupBy("bucket").agg(F.min("n").alias("least"))
+    able = members.join(spans.hint("merge"), "bucket").where(may_link(F.col("shared") + F.col("extra"), F.col("n") + F.col("least"))).drop("least")
+    sides = able.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("bucket")
+    return able.join(sides.hint("merge"), "bucket")
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -154,31 +185,59 @@ def near_components(docs: DataFrame) -> DataFrame:
     placed = classes.select(F.explode("bands").alias("bucket"), F.col("class").alias("id"), "n").distinct()
     shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = written(placed.join(shared.hint("merge"), "bucket").select("bucket", "id", "n"), "buckets")
-    # Classes that share an id (rows that repeat a doc_id) are one node already.
+    # Classes that share an id (rows that repeat a doc_id) are one node; the bounds, which are a set's, aren't used then.
+    single = classes.count() == classes.select("class").distinct().count()
+    texts = _texts(docs)
     component = None
-    texts, narrowed, salts = _texts(docs), False, 1
-    while True:
-        if component is None:
-            labelled = members.withColumn("c", F.col("id"))
-        else:
-            labelled = written(members.join(component.hint("merge"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component"), "labelled")
-        open_buckets = labelled.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("bucket")
-        live = written(labelled.join(open_buckets.hint("merge"), "bucket"), "live")
-        if live.isEmpty():
-            break
-        if salts > 1 and not narrowed:  # later rounds need the texts of these documents only
-            texts = written(texts.join(live.select("id").distinct(), "id", "left_semi"), "texts")
-            narrowed = True
-        pivots = live.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(salts)).alias("s")).agg(F.min(F.struct("id", "n", "c")).alias("p")).select("bucket", F.col("p.id").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.c").alias("pc"))
-        pivots = written(pivots, "pivots")
-        sizes_fit = 100 * F.least("n", "pn") >= THRESHOLD * F.greatest("n", "pn")
-        pairs = written(live.join(pivots.hint("merge"), "bucket").where((F.col("c") != F.col("pc")) & sizes_fit).select(F.col("id").alias("member"), "pivot").distinct(), "pairs")
-        links = written(confirm(texts, pairs), "links")
+
+    def test(pairs: DataFrame) -> DataFrame:
+        """Confirms pairs and updates the components."""
+        nonlocal component
+        tested = written(confirm(texts, pairs), "tested")
+        links = tested.where(may_link(F.col("common"), F.col("nu") + F.col("nv"))).select("u", "v")
         if not links.isEmpty():
             component = components(links if component is None else links.unionByName(component.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))))
-        release(spark)
-        members = written(live.join(pivots.select("bucket", F.col("pivot").alias("id")).hint("merge"), ["bucket", "id"], "left_anti").select("bucket", "id", "n"), "buckets")
+        return tested
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        if component is None:
+            return rows.withColumn("c", F.col("id"))
+        return rows.join(component.hint("merge"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+
+    # Round 1: the bucket's least id against the others.
+    first = members.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("p")).select("bucket", F.col("p.id").alias("pivot"), F.col("p.n").alias("pn"))
+    sizes_fit = 100 * F.least("n", "pn") >= THRESHOLD * F.greatest("n", "pn")
+    test(written(members.join(first.hint("merge"), "bucket").where((F.col("id") != F.col("pivot")) & sizes_fit).select(F.col("id").alias("member"), "pivot").distinct(), "pairs"))
+    live = written(_open(labelled(members).withColumns({"shared": F.col("n"), "extra": F.lit(0).cast("long")})), "live")
+    release(spark)
+    if not live.isEmpty():
+        # Round 2: what each document shares with no other bounds what it can share with anyone. The document with the
+        # least of its own is the most central one; what the others share with it bounds all other pairs of the bucket.
+        texts = written(texts.join(live.select("id").distinct(), "id", "left_semi"), "texts")
+        own = written(private_counts(texts), "own")
+        live = live.join(own.hint("merge"), "id", "left").withColumn("own", F.coalesce("own", F.lit(0)) if single else F.lit(0).cast("long"))
+        live = written(_open(live.withColumn("shared", F.col("n") - F.col("own"))), "live")
+        pivots = written(live.groupBy("bucket").agg(F.min(F.struct("own", "id")).alias("p")).select("bucket", F.col("p.id").alias("pivot")), "pivots")
+        tested = test(written(live.join(pivots.hint("merge"), "bucket").where("id <> pivot").select(F.col("id").alias("member"), "pivot").distinct(), "pairs"))
+        rest = live.drop("c", "shared", "extra").join(pivots.hint("merge"), "bucket").where("id <> pivot")
+        if single:
+            rest = rest.join(tested.select(F.col("u").alias("id"), F.col("v").alias("pivot"), F.col("common").alias("shared")).hint("merge"), ["id", "pivot"])
+        else:
+            rest = rest.withColumn("shared", F.col("n"))
+        rest = rest.withColumn("extra", F.col("n") - F.col("shared") - F.col("own")).drop("pivot")
+        live = written(_open(labelled(rest)), "live")
+    salts = 1
+    while not live.isEmpty():
+        # Later rounds: what is left, against the most central documents of ever more parts of the bucket.
         salts *= SALT_STEP
+        chosen = live.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(salts)).alias("s")).agg(F.min(F.struct("own", "id", "n", "c", "shared", "extra")).alias("p"))
+        pivots = written(chosen.select("bucket", F.col("p.id").alias("pivot"), *[F.col(f"p.{x}").alias(f"p_{x}") for x in ("n", "c", "shared", "extra")]), "pivots")
+        fits = may_link(F.least("shared", "p_shared") + F.least("extra", "p_extra"), F.col("n") + F.col("p_n"))
+        pairs = live.join(pivots.hint("merge"), "bucket").where((F.col("c") != F.col("p_c")) & fits & (100 * F.least("n", "p_n") >= THRESHOLD * F.greatest("n", "p_n")))
+        test(written(pairs.select(F.col("id").alias("member"), "pivot").distinct(), "pairs"))
+        rest = live.drop("c").join(pivots.select("bucket", F.col("pivot").alias("id")).hint("merge"), ["bucket", "id"], "left_anti")
+        live = written(_open(labelled(rest)), "live")
+        release(spark)
     groups = classes.select("n", "set_a", "set_b", "class", "size")
     if component is None:
         groups = groups.withColumn("component_id", F.col("class"))
