@@ -73,7 +73,7 @@ def meta_series(rows: DataFrame, metric: str, now: Column | None = None) -> Data
 
 def point_series(points: DataFrame, group: list[str], position: str) -> DataFrame:
     """Series of the points of each group and label set, in order of position; a group is a record, so its arrays are bounded."""
-    packed = points.groupBy(*group, "metric", *M.POINT_LABELS).agg(F.array_sort(F.collect_list(F.struct(position, "ts", "value"))).alias("p"))
+    packed = points.groupBy(*group, "metric", *M.POINT_LABELS).agg(F.array_sort(F.collect_list(F.struct(F.col(position).alias("position"), "ts", "value"))).alias("p"))
     labels = labels_map({M.NAME: F.col("metric"), **{c: F.col(c) for c in M.POINT_LABELS}})
     return packed.select(*group, labels.alias("labels"), F.col("p.ts").alias("timestamps"), F.col("p.value").alias("values"))
 

@@ -35,7 +35,7 @@ class UploadProcessor(StatefulProcessor):
         self.store = self.make_store()
 
     def _out(self, key: tuple, status: str, n: int, at: float) -> pd.DataFrame:
-        return pd.DataFrame([(*key, status, n, pd.Timestamp(at, unit="s"))], columns=[*KEY, "status", "bytes", "at"])
+        return pd.DataFrame([(*key, status, n, pd.Timestamp(int(at * 1000), unit="ms"))], columns=[*KEY, "status", "bytes", "at"])
 
     def _now(self) -> tuple[bool, float, float]:
         return self.state.get() if self.state.exists() else (False, 0.0, 0.0)
