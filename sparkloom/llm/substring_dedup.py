@@ -6,12 +6,12 @@ document be streamed through every shard: that grows with the square of the corp
 1. Every window of WINDOW words chooses its anchor, the least GRAM-word hash in it (the rightmost of equal ones).
    Equal windows choose equal anchors, wherever they are. The windows that share an anchor's place form a segment;
    each window lies in one segment only. One pass over the documents emits (anchor, segment hash) and no text.
-2. Anchors that occur once are dropped. Where all segments of an anchor are the same, all its windows are repeated.
-3. The other segments are the reference. They are sharded by anchor, so that each shard holds all places at which
+2. Anchors that occur once are dropped. Segments that occur more than once are repeated as a whole.
+3. The distinct segments of the other anchors, one of each kind, are the reference. They are sharded by anchor, so that each shard holds all places at which
    its windows occur; for each shard a task builds the suffix automaton (bounded by SHARD_WORDS and one anchor's
    segments) and streams the shard's segments through it. Where the matched length reaches the window and the
    matched string ends at two places or more, the window is repeated; runs of such windows give maximal spans.
-4. An anchor with more than HOT segments would outgrow a shard (the edge of a passage that many documents share).
+4. An anchor with more than HOT distinct segments would outgrow a shard (the edge of a passage that many documents share).
    Its windows are dealt one by one, keyed by their own hash and counted by partial aggregation instead.
 
 With a reference of its own of a checked size, matching_spans() broadcasts the automaton and streams documents
@@ -38,7 +38,7 @@ from sparkloom.llm.word_automaton import SuffixAutomaton
 
 WINDOW, GRAM = 35, 8
 SHARD_WORDS = 40_000
-HOT = 512
+HOT = 2048
 NO_ID = -(1 << 63)
 MAX_REFERENCE_WORDS = 2_000_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -239,11 +239,18 @@ def strip_repeats(docs: DataFrame) -> DataFrame:
     scanned = written(scan(docs), "scanned")
     places = scanned.select("id", "th", F.explode("marks").alias("m")).select("id", "th", "m.*")
     groups = places.groupBy("a").agg(F.count(F.lit(1)).alias("size"), F.min("s").alias("low"), F.max("s").alias("high")).where("size > 1")
-    kind = F.when(F.col("low") == F.col("high"), UNIFORM).when(F.col("size") <= HOT, MIXED).otherwise(DEALT)
-    groups = written(groups.select("a", "size", kind.alias("kind")), "anchors")
+    groups = written(groups.select("a", "size", (F.col("low") == F.col("high")).alias("same")), "anchors")
     total = scanned.agg(F.sum(F.size("marks"))).first()[0] or 0
-    found = join_groups(places.select("id", "th", "a", "at", "n"), groups, "a", "size", total)
-    marked = written(found.groupBy("id", "th").agg(F.collect_list(F.struct("a", "at", "n", "kind")).alias("marks")), "marked")
+    found = written(join_groups(places.select("id", "th", "a", "s", "at", "n"), groups, "a", "size", total), "found")
+    # Of equal segments one stands for all in the shards; the others, and it too, are repeated as they are.
+    other = found.where("NOT same").select("id", "th", "a", F.struct("a", "s").alias("segment"), "at", "n")
+    distinct = written(other.groupBy("segment").agg(F.min(F.struct("id", "th", "at", "n")).alias("one"), F.count(F.lit(1)).alias("size")), "segments")
+    several = join_groups(other, distinct.where("size > 1").select("segment", "size"), "segment", "size", other.count())
+    loads = distinct.groupBy("segment.a").agg(F.count(F.lit(1)).alias("load"))
+    loads = written(loads, "loads")
+    standing = join_groups(distinct.select("segment.a", "one"), loads, "a", "load", distinct.count()).select("one.id", "one.th", "a", "one.at", "one.n", F.when(F.col("load") <= HOT, MIXED).otherwise(DEALT).alias("kind"))
+    whole_ones = found.where("same").unionByName(several, allowMissingColumns=True).select("id", "th", "a", "at", "n", F.lit(UNIFORM).alias("kind"))
+    marked = written(whole_ones.unionByName(standing).groupBy("id", "th").agg(F.collect_list(F.struct("a", "at", "n", "kind")).alias("marks")), "marked")
     work = written(_keyed(docs).join(marked, ["id", "th"]), "work")
     shards = _match_shards(_segment_texts(work))
     windows = _dealt_windows(work).select("id", "th", "at", F.struct("a", "w").alias("w"))
