@@ -51,7 +51,13 @@ class DigestIndex:
         fresh = groups.join(known.hint("merge"), "digest", "left_anti")
         rows = fresh.select("digest", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row_no").alias("keep_row"), "n", F.lit(batch).alias("batch"))
         rows = written(rows, "fresh-digests")  # the table that is written may not be read by the same plan
-        rows.repartition(self.buckets, "digest").write.option("partitionOverwriteMode", "dynamic").insertInto(self.name, overwrite=True)
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")  # only this batch's partition is overwritten
+        try:
+            rows.repartition(self.buckets, "digest").write.insertInto(self.name, overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
         self.spark.catalog.refreshTable(self.name)
 
 
@@ -74,10 +80,15 @@ def op7(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    columns = docs.columns
-    packed = docs.select("doc_id", "text", F.struct(*columns).alias("__row"))
-    return deduplicate(packed, carry=("__row",)).where("kept").select("__row.*")
+    """The rows of docs that stay, with all their columns. Only ids and digests are shuffled to decide; rows that go are anti-joined."""
+    place = lambda d: F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"), d.alias("digest"))
+    found = deduplicate(docs.select("doc_id", "text")).select(place(F.col("text_sha256")).alias("__place"), "kept")
+    places = written(found.groupBy("__place").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept")), "places")
+    # A place is a doc_id with a text; where it comes more than once, one row of it stays.
+    once = docs.withColumn("__place", place(digest(F.col("text"))))
+    single = once.join(places.where("NOT kept OR rows > 1").select("__place"), "__place", "left_anti")
+    several = once.join(places.where("kept AND rows > 1").select("__place"), "__place", "left_semi").dropDuplicates(["__place"])
+    return single.unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = """

@@ -173,8 +173,13 @@ def op8(spark: SparkSession, pages: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """docs with its own columns, without those whose language can't be told; lang is taken as declared, source as the host."""
+    """docs with its own columns, without those whose language can't be told; lang is taken as declared, source as the host.
+
+    Verdicts are a function of text, lang and source, so rows are named by doc_id and a hash of these; the rejected are anti-joined.
+    """
     languages, table = train(docs)
-    columns = docs.columns
-    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"))
-    return identify(rows, languages, table).where("accepted").select("row.*")
+    text = lambda c: F.coalesce(F.col(c), F.lit("\0"))
+    key = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text("text"), text("lang"), text("source")).alias("hash"))
+    rows = docs.select(key.alias("row"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"))
+    gone = identify(rows, languages, table).where("NOT accepted").select(F.col("row").alias("__row")).distinct()
+    return docs.withColumn("__row", key).join(written(gone, "unidentified"), "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
