@@ -1,6 +1,6 @@
 """Operator 6: language-model scoring with an Elias-Fano n-gram trie.
 
-Counting. Level 1 counts words (64-bit hashes; the end of a text is a word too), level n counts n-grams as
+Counting. Level 1 counts words (64-bit hashes; the end of a text is a word too, the empty one), level n counts n-grams as
 (rank of the first n-1 words in level n-1, id of the last word). An n-gram that occurs MIN_COUNT times has parts that
 do so as well, so the rest is left out before the shuffle without changing what is kept. Tasks add up their own counts
 first, Spark adds up the tasks'.
@@ -44,7 +44,6 @@ SHARD_GRAMS = 1_000_000
 SLICE_BYTES = 3 << 20
 TALLY = 1_500_000
 FOLDS, HELD_FOLD = 7, 2
-END = np.uint64(xxhash.xxh3_64_intdigest(b""))
 SIGN = np.uint64(1 << 63)
 #: Quantisation: log10 values from LEAST to 0 in 65535 steps.
 LEAST, STEPS = -16.0, 65535
@@ -170,29 +169,39 @@ class Trie:
         return out
 
 
-def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs in order, the place of each one's first row, and of each row its pair's place."""
+def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of numbers from -1 up, in order, and of each row its pair's place."""
     width = int(b.max(initial=0)) + 2
     if int(a.max(initial=0)) + 2 < (1 << 62) // width:
-        _, first, inverse = np.unique((a + 1) * width + b + 1, return_index=True, return_inverse=True)
-    else:
-        order = np.lexsort((b, a))
-        new = np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)]) if len(a) else np.empty(0, bool)
-        first, inverse = order[new], np.empty(len(a), np.int64)
-        inverse[order] = np.cumsum(new) - 1
-    return a[first], b[first], first, inverse
-
-
-def tokens_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens of the texts, and where each text ends among them."""
-    parts, ends, total = [], [], 0
+        keys, inverse = np.unique((a + 1) * width + b + 1, return_inverse=True)
+        return keys // width - 1, keys % width - 1, inverse
+    order = np.lexsort((b, a))
+    new = np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)])
+    first, inverse = order[new], np.empty(len(a), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return a[first], b[first], inverse
+
+
+def _by_pair(values: np.ndarray, inverse: np.ndarray, n: int) -> np.ndarray:
+    """Each pair's value, of rows whose values are equal within a pair."""
+    out = np.zeros(n, values.dtype)
+    out[inverse] = values
+    return out
+
+
+def tokens_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct tokens of the texts, of each token its place among them, and where each text ends."""
+    words: list[bytes] = []
+    ends = []
     for text in texts:
-        words = text.lower().split() if text else []
-        parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
-        parts.append(END[None])
-        total += len(words) + 1
-        ends.append(total)
-    return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), np.array(ends, np.int64)
+        if text:
+            words += text.lower().split()
+        words.append(b"")
+        ends.append(len(words))
+    distinct = list(dict.fromkeys(words))
+    places = dict(zip(distinct, range(len(distinct)), strict=True))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
+    return hashes, np.fromiter(map(places.__getitem__, words), np.int64, len(words)), np.array(ends, np.int64)
 
 
 class Walk:
@@ -200,12 +209,20 @@ class Walk:
 
     def __init__(self, trie: Trie, texts: list[bytes | None]):
         self.trie = trie
-        hashes, self.ends = tokens_of(texts)
-        self.distinct, self.inverse = np.unique(hashes ^ SIGN, return_inverse=True)
+        hashes, self.inverse, self.ends = tokens_of(texts)
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
-        self.ids = trie.word_ids(self.distinct)[self.inverse] if trie.levels else None
+        #: Ids of the distinct words, and of each token.
+        self.distinct = trie.word_ids(hashes ^ SIGN)
+        self.ids = self.distinct[self.inverse]
         self.ranks = [self.ids]
 
+    def counts(self) -> np.ndarray:
+        """How often each distinct word occurs in the training texts; 0 for unseen words."""
+        out = np.zeros(len(self.distinct), np.int64)
+        seen = np.flatnonzero(self.distinct >= 0)
+        out[seen] = self.trie.read(1, "counts", self.distinct[seen])
+        return out
+
     def before(self, ranks: np.ndarray) -> np.ndarray:
         """The rank that ends one token earlier; -1 at the start of a text."""
         out = np.concatenate([[-1], ranks[:-1]]).astype(np.int64)
@@ -214,7 +231,7 @@ class Walk:
 
     def next_level(self) -> np.ndarray:
         context = self.before(self.ranks[-1])
-        c, w, _, inverse = _unique_pairs(context, self.ids)
+        c, w, inverse = _unique_pairs(context, self.ids)
         self.ranks.append(self.trie.find(len(self.ranks) + 1, c, w)[inverse])
         return self.ranks[-1]
 
@@ -235,8 +252,8 @@ class Tally:
 
     def merged(self) -> tuple[np.ndarray, ...]:
         a, b, low, n = (np.concatenate(x) for x in zip(*self.held, strict=True))
-        a2, b2, first, inverse = _unique_pairs(a, b)
-        return a2, b2, low[first], np.bincount(inverse, n, len(a2)).astype(np.int64)
+        a2, b2, inverse = _unique_pairs(a, b)
+        return a2, b2, _by_pair(low, inverse, len(a2)), np.bincount(inverse, n, len(a2)).astype(np.int64)
 
     def drain(self) -> Iterator[tuple[np.ndarray, ...]]:
         if self.held:
@@ -263,8 +280,8 @@ def _count_words(train: DataFrame) -> DataFrame:
 
         for batch in batches:
             for part in slices_by_bytes(batch, 0, SLICE_BYTES):
-                hashes, _ = tokens_of(part.column(0).to_pylist())
-                held.append(np.unique(hashes ^ SIGN, return_counts=True))
+                hashes, inverse, _ = tokens_of(part.column(0).to_pylist())
+                held.append((hashes ^ SIGN, np.bincount(inverse, minlength=len(hashes))))
                 rows += len(held[-1][0])
                 if rows > TALLY and len(held) > 1:
                     out = merged()
@@ -293,10 +310,7 @@ def _count_grams(train: DataFrame, trie: Trie, level: int, min_count: int) -> Da
             for part in slices_by_bytes(batch, 0, SLICE_BYTES):
                 walk = Walk(shared.value, part.column(0).to_pylist())
                 if level == 2:  # words that are too rare can't be part of a frequent pair
-                    seen = np.flatnonzero(walk.ids >= 0)
-                    common = np.full(len(walk.ids), -1, np.int64)
-                    ids, inverse = np.unique(walk.ids[seen], return_inverse=True)
-                    common[seen] = np.where(shared.value.read(1, "counts", ids) >= min_count, ids, -1)[inverse]
+                    common = np.where(walk.counts() >= min_count, walk.distinct, -1)[walk.inverse]
                     low = common
                 else:
                     for _ in range(level - 2):
@@ -304,8 +318,8 @@ def _count_grams(train: DataFrame, trie: Trie, level: int, min_count: int) -> Da
                     low = walk.ranks[-1]
                 context = walk.before(low)
                 at = np.flatnonzero((context >= 0) & (low >= 0))
-                c, w, first, inverse = _unique_pairs(context[at], walk.ids[at])
-                tally.add(c, w, low[at][first], np.bincount(inverse, minlength=len(c)).astype(np.int64))
+                c, w, inverse = _unique_pairs(context[at], walk.ids[at])
+                tally.add(c, w, _by_pair(low[at], inverse, len(c)), np.bincount(inverse, minlength=len(c)).astype(np.int64))
                 if tally.rows > TALLY:
                     yield from map(out, tally.drain())
         yield from map(out, tally.drain())
@@ -392,12 +406,7 @@ def train_trie(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT)
 def _scores(walk: Walk, trie: Trie) -> tuple[np.ndarray, ...]:
     """For each text: tokens, known tokens, base and model log10 probability."""
     ids = walk.ids
-    unseen = np.log10(1 / (trie.train_tokens + trie.words + 1))
-    known = np.flatnonzero(ids >= 0)
-    distinct, inverse = np.unique(ids[known], return_inverse=True)
-    base = np.full(len(ids), unseen)
-    if len(distinct):
-        base[known] = np.log10((trie.read(1, "counts", distinct) + 1) / (trie.train_tokens + trie.words + 1))[inverse]
+    base = np.log10((walk.counts() + 1) / (trie.train_tokens + trie.words + 1))[walk.inverse]
     model = base.copy()
     for level in range(2, len(trie.levels) + 1):
         context = walk.before(walk.ranks[-1])
