@@ -15,7 +15,7 @@ confirmed on the full sets, and pairs that can't join two components are not mad
    most min(|x & p|, |y & p|) + min(x', y') shingles in common, p being the central document and x' what x shares
    with anyone but p: in a large group of copies, each edited in its own way, this rules out all pairs but those
    that share edits, and members that can reach no other are done with;
-3. what is left is tested against the most central documents of 16, 256, ... parts of the bucket, until the buckets'
+3. what is left is tested against the most central documents of 256, 65536, ... parts of the bucket, until the buckets'
    untested members lie in one component each.
 
 Nothing is left out but by these exact bounds, and the rounds end by themselves. A pivot with many members is sent to
@@ -41,7 +41,7 @@ from sparkloom.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 85
 PERMUTATIONS, BANDS, ROWS = 40, 20, 4
-SALT_STEP = 16
+SALT_STEP = 256
 PIVOT_LOAD = 2000
 NO_ID = -(1 << 63)
 BLOCK = 1 << 14
@@ -122,7 +122,7 @@ def confirm(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     parts = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / PIVOT_LOAD).cast("int").alias("parts"))
     members = pairs.join(parts.hint("merge"), "pivot").select("pivot", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"), F.col("member").alias("id"))
     pivots = parts.select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("pivot").alias("id"))
-    rows = members.unionByName(pivots).join(texts, "id").select("pivot", "part", "id", "text")
+    rows = members.unionByName(pivots).join(texts.hint("merge"), "id").select("pivot", "part", "id", "text")
     n = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +187,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     members = written(placed.join(shared.hint("merge"), "bucket").select("bucket", "id", "n"), "buckets")
     # Classes that share an id (rows that repeat a doc_id) are one node; the bounds, which are a set's, aren't used then.
     single = classes.count() == classes.select("class").distinct().count()
-    texts = _texts(docs)
+    # Texts are joined once, by sort-merge at every size, for the documents that share a bucket with any other.
+    texts = written(_texts(docs).join(members.select("id").distinct().hint("merge"), "id", "left_semi"), "texts")
     component = None
 
     def test(pairs: DataFrame) -> DataFrame:
@@ -213,7 +214,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     if not live.isEmpty():
         # Round 2: what each document shares with no other bounds what it can share with anyone. The document with the
         # least of its own is the most central one; what the others share with it bounds all other pairs of the bucket.
-        texts = written(texts.join(live.select("id").distinct(), "id", "left_semi"), "texts")
+        texts = written(texts.join(live.select("id").distinct().hint("merge"), "id", "left_semi"), "texts")
         own = written(private_counts(texts), "own")
         live = live.join(own.hint("merge"), "id", "left").withColumn("own", F.coalesce("own", F.lit(0)) if single else F.lit(0).cast("long"))
         live = written(_open(live.withColumn("shared", F.col("n") - F.col("own"))), "live")
@@ -234,7 +235,9 @@ def near_components(docs: DataFrame) -> DataFrame:
         pivots = written(chosen.select("bucket", F.col("p.id").alias("pivot"), *[F.col(f"p.{x}").alias(f"p_{x}") for x in ("n", "c", "shared", "extra")]), "pivots")
         fits = may_link(F.least("shared", "p_shared") + F.least("extra", "p_extra"), F.col("n") + F.col("p_n"))
         pairs = live.join(pivots.hint("merge"), "bucket").where((F.col("c") != F.col("p_c")) & fits & (100 * F.least("n", "p_n") >= THRESHOLD * F.greatest("n", "p_n")))
-        test(written(pairs.select(F.col("id").alias("member"), "pivot").distinct(), "pairs"))
+        pairs = written(pairs.select(F.col("id").alias("member"), "pivot").distinct(), "pairs")
+        if not pairs.isEmpty():
+            test(pairs)
         rest = live.drop("c").join(pivots.select("bucket", F.col("pivot").alias("id")).hint("merge"), ["bucket", "id"], "left_anti")
         live = written(_open(labelled(rest)), "live")
         release(spark)
@@ -263,7 +266,7 @@ def op1(spark: SparkSession, docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs with its own columns, one document of each component."""
     gone = near_components(docs).where("id <> component_id").select(F.col("id").alias("__id")).distinct()
-    return docs.join(gone, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == gone["__id"], "left_anti").select(*[docs[c] for c in docs.columns])
+    return docs.join(gone.hint("merge"), F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == gone["__id"], "left_anti").select(*[docs[c] for c in docs.columns])
 
 
 ORACLE = r"""
