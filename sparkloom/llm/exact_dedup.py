@@ -86,7 +86,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     places = written(found.groupBy("__place").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept")), "places")
     # A place is a doc_id with a text; where it comes more than once, one row of it stays.
     once = docs.withColumn("__place", place(digest(F.col("text"))))
-    single = once.join(places.where("NOT kept OR rows > 1").select("__place"), "__place", "left_anti")
+    single = once.join(places.where("NOT kept OR rows > 1").select("__place").hint("merge"), "__place", "left_anti")
     several = once.join(places.where("kept AND rows > 1").select("__place"), "__place", "left_semi").dropDuplicates(["__place"])
     return single.unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])
 
