@@ -173,6 +173,11 @@ class UsageSource(DataSource):
         return _Stream(self.transport)
 
 
+def received(frames: DataFrame, name: object = "received") -> DataFrame:
+    """frames, with the number of events and bytes that pass as an observed metric."""
+    return frames.observe(name, F.count(F.lit(1)).alias("events"), F.coalesce(F.sum(F.octet_length("frame")), F.lit(0)).alias("bytes"))
+
+
 def usage_points(frames: DataFrame) -> DataFrame:
     """Points of the frames of either kind; decoding is the one step in Python, all else is native."""
     sql = frames.where(F.col("instance_type") == M.SQL_LAYER).select("instance", decode_sql_response(F.col("frame")).alias("r")).select("instance", "r.*")

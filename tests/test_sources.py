@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sparkloom import config, registry
 from sparkloom.sinks import http_import
-from sparkloom.sources.usage import Replay, usage_points
+from sparkloom.sources.usage import Replay, received, usage_points
 from tests.test_points import TAG, series, sql_frame, store_frame
 
 
@@ -29,6 +29,11 @@ def test_usage_replay_batch_and_stream(spark, tmp_path):
     Replay.capture(str(tmp_path), "db:10080", [sql_frame()])
     Replay.capture(str(tmp_path), "kv:20160", [store_frame(TAG, cpu_time_ms=1)])
     assert usage_points(spark.read.format("topsql").option("replay", str(tmp_path)).load()).count() == 6
+    from pyspark.sql import Observation
+
+    seen = Observation("seen")
+    frames = spark.read.format("topsql").option("replay", str(tmp_path)).load()
+    assert received(frames, seen).count() == 2 and seen.get["events"] == 2 and seen.get["bytes"] > 0
     stream = spark.readStream.format("topsql").option("replay", str(tmp_path)).load()
     query = stream.writeStream.format("memory").queryName("frames").option("checkpointLocation", str(tmp_path / "cp")).start()
     try:

@@ -112,3 +112,22 @@ def test_retry_and_shutdown():
         parent.shutdown()
         assert child.event.is_set() and not parent.wait(0.01)
     assert parent.wait(1) and parent.child().event.is_set()
+
+
+def test_watcher():
+    from sparkloom.streaming.watch import Watcher
+
+    polls = iter([{"a", "pd"}, OSError("away"), {"b", "pd"}])
+    events = []
+
+    def fetch():
+        found = next(polls)
+        if isinstance(found, OSError):
+            raise found
+        return found
+
+    watcher = Watcher(fetch, lambda c: events.append(("start", c)) or c != "pd", lambda c: events.append(("stop", c)))
+    assert watcher.poll() and watcher.current == {"a"}
+    assert not watcher.poll() and watcher.current == {"a"}
+    assert watcher.poll() and watcher.current == {"b"} and ("stop", "a") in events
+    assert events.count(("start", "pd")) == 2
