@@ -3,7 +3,7 @@
 Four kinds of evidence are added up as log-odds for each language:
 
 * the text: hashed byte 3-grams, each language's distribution counted over all labelled documents by grouped
-  aggregation (no sample), add-one smoothed; tempered, as overlapping n-grams repeat each other;
+  aggregation (no sample), add-one smoothed and mixed with the uniform one; tempered, as overlapping n-grams repeat each other;
 * the language that markup (or a table's own column) declares, trusted with DECLARED_TRUST;
 * the address suffix: how often each language comes with the host's last label, smoothed towards the whole;
 * the host: a prior smoothed hierarchically, the host's votes on top of its parent domain's, that on top of the
@@ -34,6 +34,8 @@ MAX_LANGUAGES = 256
 DECLARED_TRUST = 0.9
 #: Text evidence of n 3-grams counts as TEMPER * n / (TEMPER + n) of them.
 TEMPER = 200.0
+#: Share of the uniform distribution in each language's: keys, numbers and names in a text speak for no language, and little against one.
+BACKGROUND = 0.2
 #: Votes that a prior of the next wider kind is worth.
 PRIOR_WEIGHT = 10.0
 LEAST_CONFIDENCE = 0.5
@@ -72,7 +74,7 @@ def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     table = np.ones((len(languages), BUCKETS))
     for r in counts:
         table[languages.index(r.lang), r.bucket] += r.n
-    return languages, np.log(table / table.sum(1, keepdims=True))
+    return languages, np.log((1 - BACKGROUND) * table / table.sum(1, keepdims=True) + BACKGROUND / BUCKETS)
 
 
 def text_evidence(rows: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
