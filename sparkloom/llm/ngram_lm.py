@@ -44,6 +44,7 @@ SHARD_GRAMS = 1_000_000
 SLICE_BYTES = 3 << 20
 TALLY = 1_500_000
 FOLDS, HELD_FOLD = 7, 2
+END = np.array([xxhash.xxh3_64_intdigest(b"")], np.uint64)
 SIGN = np.uint64(1 << 63)
 #: Quantisation: log10 values from LEAST to 0 in 65535 steps.
 LEAST, STEPS = -16.0, 65535
@@ -191,17 +192,14 @@ def _by_pair(values: np.ndarray, inverse: np.ndarray, n: int) -> np.ndarray:
 
 def tokens_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct tokens of the texts, of each token its place among them, and where each text ends."""
-    words: list[bytes] = []
-    ends = []
+    parts, ends, total = [np.empty(0, np.uint64)], [], 0
     for text in texts:
-        if text:
-            words += text.lower().split()
-        words.append(b"")
-        ends.append(len(words))
-    distinct = list(dict.fromkeys(words))
-    places = dict(zip(distinct, range(len(distinct)), strict=True))
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))
-    return hashes, np.fromiter(map(places.__getitem__, words), np.int64, len(words)), np.array(ends, np.int64)
+        words = text.lower().split() if text else []
+        parts += [np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), END]
+        total += len(words) + 1
+        ends.append(total)
+    distinct, places = np.unique(np.concatenate(parts), return_inverse=True)
+    return distinct, places, np.array(ends, np.int64)
 
 
 class Walk:
