@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from sparkloom.llm import decontaminate, exact_dedup, language_id, minmax_dedup, sentencepiece_viterbi
 from sparkloom.llm.common import table, written
 
+#: Least similarity of near copies, in percent. The pipeline's own: op1 has another.
+NEAR = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can't be told go."""
@@ -24,7 +27,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least doc_id stays."""
-    return minmax_dedup.keep_one(docs)
+    return minmax_dedup.keep_one(docs, NEAR)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

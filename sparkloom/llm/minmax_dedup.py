@@ -1,10 +1,11 @@
 """Operator 1: near-duplicate detection by min-max hashing.
 
 A document's set is its distinct 5-word shingles (64-bit hashes of lower-cased words; with fewer words the whole
-sequence is one shingle). Each of PERMUTATIONS hash functions is evaluated once and both its minimum and its maximum
-over the set are kept, so the signature has twice as many values as evaluations; the two agree between sets with the
-probability of the Jaccard similarity, each without bias. BANDS bands of ROWS values each find candidates; at a
-similarity of 0.85 a pair is missed with a probability of (1 - 0.85^4)^20, under one in a million.
+sequence is one shingle). Each hash function is evaluated once and both its minimum and its maximum over the set are
+kept, so the signature has twice as many values as evaluations; the two agree between sets with the probability of the
+Jaccard similarity, each without bias. Bands of ROWS values each find candidates, as many as the threshold needs
+(BANDS): at a similarity of 0.85 (op1) a pair is missed with a probability of (1 - 0.85^4)^20, at 0.80 (the pipeline)
+of (1 - 0.8^4)^30, both under one in a million.
 
 Documents with equal sets are one class, found by aggregation: copies cost one row. Between classes, links are
 confirmed on the full sets, and pairs that can't join two components are not made:
@@ -40,7 +41,10 @@ from sparkloom.llm.common import join_groups, release, slices, written
 from sparkloom.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 85
-PERMUTATIONS, BANDS, ROWS = 40, 20, 4
+#: Number of bands by threshold in percent.
+BANDS = {85: 20, 80: 30}
+ROWS = 4
+PERMUTATIONS = max(BANDS.values()) * ROWS // 2
 SALT_STEP = 256
 PIVOT_LOAD = 2000
 NO_ID = -(1 << 63)
@@ -72,29 +76,29 @@ def shingles(text: bytes | None, width: int = SHINGLE) -> np.ndarray:
     return np.unique(_mixed(out))
 
 
-def min_max(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least and greatest value of the set under each hash function; blocks bound the memory for long texts."""
-    low, high = np.full(PERMUTATIONS, np.uint64(2**64 - 1)), np.zeros(PERMUTATIONS, np.uint64)
+def min_max(found: np.ndarray, functions: int = PERMUTATIONS) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest value of the set under each of the first hash functions; blocks bound the memory for long texts."""
+    low, high = np.full(functions, np.uint64(2**64 - 1)), np.zeros(functions, np.uint64)
     for at in range(0, len(found), BLOCK):
-        values = np.multiply.outer(A, found[at : at + BLOCK])
-        values += B[:, None]
+        values = np.multiply.outer(A[:functions], found[at : at + BLOCK])
+        values += B[:functions, None]
         np.minimum(low, values.min(1), out=low)
         np.maximum(high, values.max(1), out=high)
     return low, high
 
 
-def bands(found: np.ndarray) -> np.ndarray:
-    """One key for each band: minimum and maximum of ROWS / 2 hash functions, and the band's number."""
-    signature = np.stack(min_max(found), 1).reshape(BANDS, ROWS)
-    return _mixed((signature * MIX[:ROWS]).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * MIX[ROWS]).view(np.int64)
+def bands(found: np.ndarray, count: int) -> np.ndarray:
+    """One key for each of count bands: minimum and maximum of ROWS / 2 hash functions, and the band's number."""
+    signature = np.stack(min_max(found, count * ROWS // 2), 1).reshape(count, ROWS)
+    return _mixed((signature * MIX[:ROWS]).sum(1, dtype=np.uint64) + np.arange(count, dtype=np.uint64) * MIX[ROWS]).view(np.int64)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("binary").alias("text"))
 
 
-def sketch(docs: DataFrame) -> DataFrame:
-    """id, n, set_a and set_b (128 bits that stand for the set), bands (empty for an empty set)."""
+def sketch(docs: DataFrame, count: int) -> DataFrame:
+    """id, n, set_a and set_b (128 bits that stand for the set), bands (count keys, none for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,8 +110,8 @@ def sketch(docs: DataFrame) -> DataFrame:
                     a.append(found.sum(dtype=np.uint64))
                     b.append(np.bitwise_xor.reduce(_mixed(found * MIX[0])) if len(found) else np.uint64(0))
                     if len(found):
-                        keys.append(bands(found))
-                    ends.append(len(keys) * BANDS)
+                        keys.append(bands(found, count))
+                    ends.append(len(keys) * count)
                 flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(n, pa.int64()), pa.array(np.array(a, np.uint64).view(np.int64)), pa.array(np.array(b, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))],
@@ -159,27 +163,27 @@ def private_counts(texts: DataFrame) -> DataFrame:
     return rows.groupBy("s").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
 
 
-def may_link(common: Column, sizes: Column) -> Column:
+def may_link(common: Column, sizes: Column, threshold: int) -> Column:
     """Whether so many common shingles reach the threshold for sets whose sizes add up to sizes."""
-    return (100 + THRESHOLD) * common >= THRESHOLD * sizes
+    return (100 + threshold) * common >= threshold * sizes
 
 
-def _open(members: DataFrame) -> DataFrame:
+def _open(members: DataFrame, threshold: int) -> DataFrame:
     """Members of the buckets in which two components are left, without those that can reach no other member.
 
     more is the most that a member can have in common with anyone: what it shares with the pivot and what else of it
     is not its own.
     """
     spans = members.groupBy("bucket").agg(F.min("n").alias("least"))
-    able = members.join(spans.hint("merge"), "bucket").where(may_link(F.col("shared") + F.col("extra"), F.col("n") + F.col("least"))).drop("least")
+    able = members.join(spans.hint("merge"), "bucket").where(may_link(F.col("shared") + F.col("extra"), F.col("n") + F.col("least"), threshold)).drop("least")
     sides = able.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("bucket")
     return able.join(sides.hint("merge"), "bucket")
 
 
-def near_components(docs: DataFrame) -> DataFrame:
-    """id (NO_ID for null), n_shingles, component_id: one row for each row of docs."""
+def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """id (NO_ID for null), n_shingles, component_id: one row for each row of docs. threshold: least similarity of a link, in percent."""
     spark = docs.sparkSession
-    found = written(sketch(docs), "sketches")
+    found = written(sketch(docs, BANDS[threshold]), "sketches")
     key = F.struct("n", "set_a", "set_b")
     classes = written(found.where("n > 0").groupBy("n", "set_a", "set_b").agg(F.min("id").alias("class"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands")), "classes")
     placed = classes.select(F.explode("bands").alias("bucket"), F.col("class").alias("id"), "n").distinct()
@@ -195,7 +199,7 @@ def near_components(docs: DataFrame) -> DataFrame:
         """Confirms pairs and updates the components."""
         nonlocal component
         tested = written(confirm(texts, pairs), "tested")
-        links = tested.where(may_link(F.col("common"), F.col("nu") + F.col("nv"))).select("u", "v")
+        links = tested.where(may_link(F.col("common"), F.col("nu") + F.col("nv"), threshold)).select("u", "v")
         if not links.isEmpty():
             component = components(links if component is None else links.unionByName(component.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))))
         return tested
@@ -207,9 +211,9 @@ def near_components(docs: DataFrame) -> DataFrame:
 
     # Round 1: the bucket's least id against the others.
     first = members.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("p")).select("bucket", F.col("p.id").alias("pivot"), F.col("p.n").alias("pn"))
-    sizes_fit = 100 * F.least("n", "pn") >= THRESHOLD * F.greatest("n", "pn")
+    sizes_fit = 100 * F.least("n", "pn") >= threshold * F.greatest("n", "pn")
     test(written(members.join(first.hint("merge"), "bucket").where((F.col("id") != F.col("pivot")) & sizes_fit).select(F.col("id").alias("member"), "pivot").distinct(), "pairs"))
-    live = written(_open(labelled(members).withColumns({"shared": F.col("n"), "extra": F.lit(0).cast("long")})), "live")
+    live = written(_open(labelled(members).withColumns({"shared": F.col("n"), "extra": F.lit(0).cast("long")}), threshold), "live")
     release(spark)
     if not live.isEmpty():
         # Round 2: what each document shares with no other bounds what it can share with anyone. The document with the
@@ -217,7 +221,7 @@ def near_components(docs: DataFrame) -> DataFrame:
         texts = written(texts.join(live.select("id").distinct().hint("merge"), "id", "left_semi"), "texts")
         own = written(private_counts(texts), "own")
         live = live.join(own.hint("merge"), "id", "left").withColumn("own", F.coalesce("own", F.lit(0)) if single else F.lit(0).cast("long"))
-        live = written(_open(live.withColumn("shared", F.col("n") - F.col("own"))), "live")
+        live = written(_open(live.withColumn("shared", F.col("n") - F.col("own")), threshold), "live")
         pivots = written(live.groupBy("bucket").agg(F.min(F.struct("own", "id")).alias("p")).select("bucket", F.col("p.id").alias("pivot")), "pivots")
         tested = test(written(live.join(pivots.hint("merge"), "bucket").where("id <> pivot").select(F.col("id").alias("member"), "pivot").distinct(), "pairs"))
         rest = live.drop("c", "shared", "extra").join(pivots.hint("merge"), "bucket").where("id <> pivot")
@@ -226,20 +230,20 @@ def near_components(docs: DataFrame) -> DataFrame:
         else:
             rest = rest.withColumn("shared", F.col("n"))
         rest = rest.withColumn("extra", F.col("n") - F.col("shared") - F.col("own")).drop("pivot")
-        live = written(_open(labelled(rest)), "live")
+        live = written(_open(labelled(rest), threshold), "live")
     salts = 1
     while not live.isEmpty():
         # Later rounds: what is left, against the most central documents of ever more parts of the bucket.
         salts *= SALT_STEP
         chosen = live.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(salts)).alias("s")).agg(F.min(F.struct("own", "id", "n", "c", "shared", "extra")).alias("p"))
         pivots = written(chosen.select("bucket", F.col("p.id").alias("pivot"), *[F.col(f"p.{x}").alias(f"p_{x}") for x in ("n", "c", "shared", "extra")]), "pivots")
-        fits = may_link(F.least("shared", "p_shared") + F.least("extra", "p_extra"), F.col("n") + F.col("p_n"))
-        pairs = live.join(pivots.hint("merge"), "bucket").where((F.col("c") != F.col("p_c")) & fits & (100 * F.least("n", "p_n") >= THRESHOLD * F.greatest("n", "p_n")))
+        fits = may_link(F.least("shared", "p_shared") + F.least("extra", "p_extra"), F.col("n") + F.col("p_n"), threshold)
+        pairs = live.join(pivots.hint("merge"), "bucket").where((F.col("c") != F.col("p_c")) & fits & (100 * F.least("n", "p_n") >= threshold * F.greatest("n", "p_n")))
         pairs = written(pairs.select(F.col("id").alias("member"), "pivot").distinct(), "pairs")
         if not pairs.isEmpty():
             test(pairs)
         rest = live.drop("c").join(pivots.select("bucket", F.col("pivot").alias("id")).hint("merge"), ["bucket", "id"], "left_anti")
-        live = written(_open(labelled(rest)), "live")
+        live = written(_open(labelled(rest), threshold), "live")
         release(spark)
     groups = classes.select("n", "set_a", "set_b", "class", "size")
     if component is None:
@@ -263,9 +267,9 @@ def op1(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return near_duplicates(docs)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """docs with its own columns, one document of each component."""
-    gone = near_components(docs).where("id <> component_id").select(F.col("id").alias("__id")).distinct()
+    gone = near_components(docs, threshold).where("id <> component_id").select(F.col("id").alias("__id")).distinct()
     return docs.join(gone.hint("merge"), F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == gone["__id"], "left_anti").select(*[docs[c] for c in docs.columns])
 
 
