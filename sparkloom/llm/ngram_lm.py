@@ -1,8 +1,9 @@
 """Operator 6: language-model scoring with an Elias-Fano n-gram trie.
 
 Counting. Level 1 counts words (64-bit hashes; the end of a text is a word too, the empty one), level n counts n-grams as
-(rank of the first n-1 words in level n-1, id of the last word). An n-gram that occurs MIN_COUNT times has parts that
-do so as well, so the rest is left out before the shuffle without changing what is kept. Tasks add up their own counts
+(rank of the first n-1 words in level n-1, id of the last word). The registered query keeps all n-grams (a min_count of
+1). With a greater min_count, an n-gram that occurs so often has parts that do so as well, so the rest is left out
+before the shuffle without changing what is kept. Tasks add up their own counts
 first, Spark adds up the tasks'.
 
 Trie. Each level is cut into shards by ranges of its contexts, each written by one task as one file in the shared
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import make_path, release, scratch, slices_by_bytes, written
+from sparkloom.llm.common import drop_path, make_path, release, scratch, slices_by_bytes, written
 from sparkloom.llm.elias_fano import EliasFano
 
 ORDER, MIN_COUNT, DISCOUNT = 3, 2, 0.75
@@ -384,6 +385,12 @@ def _write_level(counts: DataFrame, trie: Trie, level: int, folder: str) -> list
     return shards
 
 
+def _drop(counts: DataFrame) -> None:
+    """Removes the files of a written table."""
+    for file in counts.inputFiles()[:1]:
+        drop_path(counts.sparkSession, file.rpartition("/")[0])
+
+
 def train_trie(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> Trie:
     """The trie of all whole texts of docs, in a new folder of the shared store."""
     spark = docs.sparkSession
@@ -395,8 +402,11 @@ def train_trie(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT)
     trie.levels.append(_write_level(counts, trie, 1, folder))
     for level in range(2, order + 1):
         release(spark)
+        _drop(counts)  # the level before is in its shards
         counts = written(_count_grams(docs, trie, level, min_count), "grams")
+        release(spark)
         trie.levels.append(_write_level(counts, trie, level, folder))
+    _drop(counts)
     release(spark)
     return trie
 
@@ -444,7 +454,7 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
 
-def op6(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    trie = train_trie(docs.where(in_training(F.col("doc_id"))))
+def op6(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    trie = train_trie(docs.where(in_training(F.col("doc_id"))), min_count=min_count)
     held = (~in_training(F.col("doc_id"))).alias("held_out")
     return score(docs, trie).select("doc_id", held, "n_tokens", "n_known", F.lit(trie.train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -33,7 +33,7 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_lm.op6(spark, table(spark, sf_dir, "documents"))
+    return ngram_lm.op6(spark, table(spark, sf_dir, "documents"), min_count=1)
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

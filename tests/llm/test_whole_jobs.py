@@ -2,8 +2,10 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline
-from sparkloom.llm import minmax_dedup
+from sparkloom.llm import queries
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string"
@@ -52,3 +54,15 @@ def test_pipeline_keeps_what_brute_force_keeps_at_080(spark):
         if d in stay and len(hit) <= 0.5 * len(w):
             want.add(d)
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf).select("doc_id").collect()} == want
+
+
+def test_language_model_query_keeps_n_grams_that_occur_once(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted(map(tuple, queries.op6_lm_scoring(spark, sf).collect()))
+    want = sorted(brute.lm(docs, least=1))
+    for a, b in zip(got, want, strict=True):
+        assert a[:5] == b[:5]
+        assert a[5] == pytest.approx(b[5], abs=1e-6) and a[6] == pytest.approx(b[6], abs=2e-4 * b[2])
+    pruned = {x[0]: x[6] for x in brute.lm(docs, least=2)}
+    assert any(abs(pruned[a[0]] - a[6]) > 2e-4 * a[2] for a in got)
