@@ -237,8 +237,10 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         salts *= SALT_STEP
         chosen = live.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(salts)).alias("s")).agg(F.min(F.struct("own", "id", "n", "c", "shared", "extra")).alias("p"))
         pivots = written(chosen.select("bucket", F.col("p.id").alias("pivot"), *[F.col(f"p.{x}").alias(f"p_{x}") for x in ("n", "c", "shared", "extra")]), "pivots")
-        fits = may_link(F.least("shared", "p_shared") + F.least("extra", "p_extra"), F.col("n") + F.col("p_n"), threshold)
-        pairs = live.join(pivots.hint("merge"), "bucket").where((F.col("c") != F.col("p_c")) & fits & (100 * F.least("n", "p_n") >= threshold * F.greatest("n", "p_n")))
+        pairs = live.join(pivots.hint("merge"), "bucket").where(F.col("c") != F.col("p_c"))
+        if single:  # else the pivot's bounds are those of one of its texts, while it leaves the bucket with all of them
+            fits = may_link(F.least("shared", "p_shared") + F.least("extra", "p_extra"), F.col("n") + F.col("p_n"), threshold)
+            pairs = pairs.where(fits & (100 * F.least("n", "p_n") >= threshold * F.greatest("n", "p_n")))
         pairs = written(pairs.select(F.col("id").alias("member"), "pivot").distinct(), "pairs")
         if not pairs.isEmpty():
             test(pairs)

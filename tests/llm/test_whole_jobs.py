@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from sparkloom.llm import queries
+from sparkloom.llm import minmax_dedup, queries
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string"
@@ -66,3 +67,14 @@ def test_language_model_query_keeps_n_grams_that_occur_once(spark):
         assert a[5] == pytest.approx(b[5], abs=1e-6) and a[6] == pytest.approx(b[6], abs=2e-4 * b[2])
     pruned = {x[0]: x[6] for x in brute.lm(docs, least=2)}
     assert any(abs(pruned[a[0]] - a[6]) > 2e-4 * a[2] for a in got)
+
+
+def test_later_rounds_use_all_texts_of_a_repeated_id(spark, monkeypatch):
+    say = lambda n, rng=random.Random(5): [f"u{rng.randrange(10**6)}" for _ in range(n)]
+    long = say(120)
+    docs = [(1, " ".join(say(90))), (2, " ".join(say(20))), (2, " ".join(long)), (3, " ".join(long[:-4] + say(4)))]
+    # One bucket, and one pivot a round: document 2 is the third round's, and its smaller text comes first.
+    monkeypatch.setattr(minmax_dedup, "bands", lambda found, count: np.zeros(count, np.int64))
+    monkeypatch.setattr(minmax_dedup, "SALT_STEP", 1)
+    got = sorted(map(tuple, minmax_dedup.op1(spark, spark.createDataFrame(docs, SCHEMA)).collect()))
+    assert got == sorted(brute.near(docs)) and got[-1][2] == 2
