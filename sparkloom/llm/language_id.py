@@ -24,13 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import join_groups, slices, written
 
 BUCKETS = 4096
-MAX_LANGUAGES = 256
+#: Languages whose totals a task holds at once.
+HELD_LANGUAGES = 256
 DECLARED_TRUST = 0.9
 #: Text evidence of n 3-grams counts as TEMPER * n / (TEMPER + n) of them.
 TEMPER = 200.0
@@ -58,22 +60,27 @@ def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
+
+        def drain() -> Iterator[pa.RecordBatch]:
+            for lang, counts in totals.items():
+                at = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(counts[at].astype(np.int64))], ["lang", "bucket", "n"])
+            totals.clear()
+
         for batch in batches:
             for part in slices(batch):
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     totals[lang] = totals.get(lang, 0) + gram_counts(text)
-                if len(totals) > MAX_LANGUAGES:
-                    raise ValueError("more languages than the text evidence is built for")
-        for lang, counts in totals.items():
-            at = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(counts[at].astype(np.int64))], ["lang", "bucket", "n"])
+                if len(totals) > HELD_LANGUAGES:  # Spark adds up what is given out more than once
+                    yield from drain()
+        yield from drain()
 
     rows = labelled.where("lang IS NOT NULL").select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(run, "lang string, bucket int, n long")
-    counts = rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
-    languages = sorted({r.lang for r in counts})
+    counts = rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    languages = sorted(counts.column("lang").unique().to_pylist())
     table = np.ones((len(languages), BUCKETS))
-    for r in counts:
-        table[languages.index(r.lang), r.bucket] += r.n
+    of = pc.index_in(counts.column("lang"), pa.array(languages, pa.string())).to_numpy()
+    table[of, counts.column("bucket").to_numpy()] += counts.column("n").to_numpy()
     return languages, np.log((1 - BACKGROUND) * table / table.sum(1, keepdims=True) + BACKGROUND / BUCKETS)
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from sparkloom.llm import minmax_dedup, queries
+from sparkloom.llm import language_id, minmax_dedup, queries
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string"
@@ -78,3 +78,22 @@ def test_later_rounds_use_all_texts_of_a_repeated_id(spark, monkeypatch):
     monkeypatch.setattr(minmax_dedup, "SALT_STEP", 1)
     got = sorted(map(tuple, minmax_dedup.op1(spark, spark.createDataFrame(docs, SCHEMA)).collect()))
     assert got == sorted(brute.near(docs)) and got[-1][2] == 2
+
+
+def test_more_labels_than_a_task_holds(spark):
+    docs = [(i, f"word{i} and some others " * 3, f"x{i % 600:03}") for i in range(1200)]
+    frame = lambda n: spark.createDataFrame(docs, SCHEMA + ", lang string").coalesce(1).repartition(n)
+    languages, table = language_id.train(frame(1))
+    assert languages == sorted({x[2] for x in docs})
+    for lang in (0, 299, 599):
+        seen = sum(language_id.gram_counts(t.encode()) for _, t, x in docs if x == languages[lang]) + 1
+        want = (1 - language_id.BACKGROUND) * seen / seen.sum() + language_id.BACKGROUND / language_id.BUCKETS
+        assert table[lang] == pytest.approx(np.log(want))
+    assert (language_id.train(frame(8))[1] == table).all()
+
+
+def test_pipeline_stage_with_many_labels(spark):
+    docs = [(i, f"word{i} and some others " * 3, f"x{i:03}", "web") for i in range(300)]
+    frame = spark.createDataFrame(docs, SCHEMA + ", lang string, source string").coalesce(1)
+    got = corpus_pipeline.identify_language(spark, frame, "")
+    assert got.columns == frame.columns and {r.doc_id for r in got.collect()} <= {x[0] for x in docs}
