@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import shutil
 import tempfile
 import uuid
@@ -14,17 +15,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_ROWS = 256
+SLICE_ROWS, SLICE_BYTES = 256, 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is what the session names in spark.checkpoint.dir. Only where that is unset (tests, one machine) a
-    temporary folder is made and set.
+    It is what the session names in spark.checkpoint.dir. Only where that is unset and the master is this machine
+    (tests) a temporary folder is made and set; on a cluster there is no folder that could be guessed.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="sparkloom-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -51,10 +54,11 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch, few rows each, so that the Python objects made from one part stay small."""
-    for at in range(0, batch.num_rows, SLICE_ROWS):
-        yield batch.slice(at, SLICE_ROWS)
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, few rows and few bytes of the string column each, so that the Python objects made from one part stay small."""
+    for part in slices_by_bytes(batch, column, SLICE_BYTES):
+        for at in range(0, part.num_rows, SLICE_ROWS):
+            yield part.slice(at, SLICE_ROWS)
 
 
 def slices_by_bytes(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
@@ -68,6 +72,16 @@ def slices_by_bytes(batch: pa.RecordBatch, column: int, most: int) -> Iterator[p
         at = to
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with its columns named c0, c1, ...: names of a table's own can then clash with no helper column and need no quotes."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
+def place_of(docs: DataFrame, name: str) -> str:
+    """The name that numbered() gives a column."""
+    return f"c{docs.columns.index(name)}"
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files and broadcasts of plans that nothing refers to any more, now and not at some later collection."""
     gc.collect()

@@ -7,8 +7,9 @@ appended under the batch's name. Committing a batch again replaces its own parti
 
 Null text counts as empty; empty texts are equal to each other. Of equal texts in a batch the row with the largest
 doc_id stays (a null doc_id is smallest); of repeated rows with one doc_id exactly one stays, and a text that an
-earlier batch has brought drops all rows of this one. An empty table gives an empty result. Other columns are kept;
-those named like the operator's own (see OWN) are replaced.
+earlier batch has brought drops all rows of this one. An empty table gives an empty result. keep_one() keeps all other
+columns, whatever their names. Texts are hashed whole, at any length. Batches are committed one after another: two that
+are committed at the same time don't see each other's digests.
 """
 
 from __future__ import annotations
@@ -19,9 +20,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import join_groups, make_path, scratch, written
-
-OWN = ("keep_id", "group_size", "kept", "text_sha256")
+from sparkloom.llm.common import join_groups, make_path, numbered, place_of, scratch, written
 
 
 def digest(text: Column) -> Column:
@@ -51,13 +50,11 @@ class DigestIndex:
         fresh = groups.join(known.hint("merge"), "digest", "left_anti")
         rows = fresh.select("digest", F.col("keep.doc_id").alias("keep_id"), F.col("keep.row_no").alias("keep_row"), "n", F.lit(batch).alias("batch"))
         rows = written(rows, "fresh-digests")  # the table that is written may not be read by the same plan
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(mode)
-        self.spark.conf.set(mode, "dynamic")  # only this batch's partition is overwritten
-        try:
-            rows.repartition(self.buckets, "digest").write.insertInto(self.name, overwrite=True)
-        finally:
-            self.spark.conf.set(mode, before)
+        # The named partition is overwritten, and no setting of the session decides it.
+        rows.drop("batch").repartition(self.buckets, "digest").createOrReplaceTempView(f"fresh_{self.name}")
+        name = batch.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION (batch = '{name}') SELECT * FROM fresh_{self.name}")
+        self.spark.catalog.dropTempView(f"fresh_{self.name}")
         self.spark.catalog.refreshTable(self.name)
 
 
@@ -80,15 +77,16 @@ def op7(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns. Only ids and digests are shuffled to decide; rows that go are anti-joined."""
-    place = lambda d: F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"), d.alias("digest"))
-    found = deduplicate(docs.select("doc_id", "text")).select(place(F.col("text_sha256")).alias("__place"), "kept")
-    places = written(found.groupBy("__place").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept")), "places")
+    """The rows of docs that stay, with all their columns, whatever their names. Only ids and digests are shuffled to decide; rows that go are anti-joined."""
+    place = lambda i, d: F.struct(F.col(i).isNull().alias("none"), F.coalesce(F.col(i), F.lit(0)).alias("id"), d.alias("digest"))
+    found = deduplicate(docs.select("doc_id", "text")).select(place("doc_id", F.col("text_sha256")).alias("place"), "kept")
+    places = written(found.groupBy("place").agg(F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept")), "places")
     # A place is a doc_id with a text; where it comes more than once, one row of it stays.
-    once = docs.withColumn("__place", place(digest(F.col("text"))))
-    single = once.join(places.where("NOT kept OR rows > 1").select("__place").hint("merge"), "__place", "left_anti")
-    several = once.join(places.where("kept AND rows > 1").select("__place"), "__place", "left_semi").dropDuplicates(["__place"])
-    return single.unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = numbered(docs)
+    once = rows.withColumn("place", place(place_of(docs, "doc_id"), digest(F.col(place_of(docs, "text")))))
+    single = once.join(places.where("NOT kept OR rows > 1").select("place").hint("merge"), "place", "left_anti")
+    several = once.join(places.where("kept AND rows > 1").select("place").hint("merge"), "place", "left_semi").dropDuplicates(["place"])
+    return single.unionByName(several).select(*rows.columns).toDF(*docs.columns)
 
 
 ORACLE = """

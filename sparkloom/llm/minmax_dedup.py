@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import join_groups, release, slices, written
+from sparkloom.llm.common import join_groups, numbered, place_of, release, slices, written
 from sparkloom.llm.components import components
 
 SHINGLE, THRESHOLD = 5, 85
@@ -102,7 +102,7 @@ def sketch(docs: DataFrame, count: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 1):
                 n, a, b, keys, ends = [], [], [], [], [0]
                 for text in part.column(1).to_pylist():
                     found = shingles(text)
@@ -132,7 +132,7 @@ def confirm(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, base = None, []
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 3):
                 out = []
                 for pivot, salt, own, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     found = shingles(text)
@@ -154,7 +154,7 @@ def private_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 1):
                 sets = [shingles(t) for t in part.column(1).to_pylist()]
                 ids = np.repeat(part.column(0).to_numpy(), [len(x) for x in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], ["id", "s"])
@@ -270,9 +270,11 @@ def op1(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """docs with its own columns, one document of each component."""
-    gone = near_components(docs, threshold).where("id <> component_id").select(F.col("id").alias("__id")).distinct()
-    return docs.join(gone.hint("merge"), F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == gone["__id"], "left_anti").select(*[docs[c] for c in docs.columns])
+    """docs with its own columns, whatever their names, one document of each component."""
+    gone = near_components(docs, threshold).where("id <> component_id").select("id").distinct()
+    rows = numbered(docs)
+    own = F.coalesce(rows[place_of(docs, "doc_id")].cast("long"), F.lit(NO_ID))
+    return rows.join(gone.hint("merge"), own == gone["id"], "left_anti").toDF(*docs.columns)
 
 
 ORACLE = r"""

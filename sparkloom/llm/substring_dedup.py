@@ -97,7 +97,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 2):
                 n, sha, found, ends = [], [], [], [0]
                 for text in part.column(2).to_pylist():
                     words = text.split()
@@ -117,7 +117,7 @@ def _segment_texts(work: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 2):
                 out: list[tuple] = []
                 for own, th, text, marks in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     words = text.split()
@@ -134,7 +134,7 @@ def _dealt_windows(work: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 2):
                 for own, th, text, marks in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     sums = Prefixes(word_hashes(text.split()))
                     at = np.concatenate([np.arange(m["at"], m["at"] + m["n"]) for m in marks])
@@ -199,7 +199,7 @@ def _match_shards(texts: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())], ["id", "th", "f", "t"])
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 4):
                 for a, own, th, at, words in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     if a != last and shard.words > SHARD_WORDS:
                         yield flush()
@@ -216,7 +216,7 @@ def _strip(work: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 1):
                 n, removed, sha = [], [], []
                 for text, marks, spans in zip(*(c.to_pylist() for c in part.columns[1:]), strict=True):
                     words = text.split()
@@ -276,7 +276,7 @@ def matching_spans(docs: DataFrame, reference: list[str], window: int = WINDOW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 1):
                 out = []
                 for text in part.column(1).to_pylist():
                     spans: list[dict[str, int]] = []
