@@ -1,31 +1,36 @@
 """Operator 5: benchmark decontamination by a generalised suffix automaton of the test items.
 
 The items' words (normalised) form one generalised suffix automaton, made on the driver and sent to the executors
-once; its size is checked (MAX_ITEM_WORDS) because a benchmark is small while the corpus is not. Documents are
-streamed through it, each as a whole, and the length of the longest match that ends at each word is tracked. Where
-it reaches the window, the window that ends there is in some item. Items shorter than the window are matched as
-wholes. No shuffle.
+once. Documents are streamed through it, each as a whole, and the length of the longest match that ends at each word is
+tracked. Where it reaches the window, the window that ends there is in some item. Items shorter than the window are
+matched as wholes. No shuffle.
+
+What is broadcast is bounded by its own size: AUTOMATON_WORDS words of items (about 0.8 KB each in a worker). Items
+beyond that go into further automata, one pass over the documents each; an item larger than an automaton is cut into
+parts that overlap, so that each of its windows lies in a part. The passes' hits, and nothing else, are then joined.
 
 Null, empty and wordless texts have no words and are never hit. Null item ids count as the word null in the list of
 items; items without words match nothing; repeated items with one id count once. An empty benchmark hits nothing.
-Columns of the documents that aren't asked for are ignored.
+Repeated documents are judged each and alike; a null doc_id is an id of its own. Texts of any length are streamed
+whole, one at a time. Columns of the documents other than doc_id and text are ignored by op5 and kept as they are by
+clean(), whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import slices
+from sparkloom.llm.common import numbered, place_of, slices, written
 from sparkloom.llm.word_automaton import SuffixAutomaton
 
 WINDOW = 10
-#: Words of all items together. Beyond it the benchmark is not small, and broadcasting it would be wrong.
-MAX_ITEM_WORDS = 5_000_000
+#: Words of the items that one automaton holds.
+AUTOMATON_WORDS = 200_000
 #: Of the pipeline's stage: a document of which more than this share is hit goes, else its hit words go.
 MAX_COVERAGE = 0.5
 
@@ -121,35 +126,80 @@ class ItemMatcher:
             spans.append([at - n + 1, at + 1])
 
 
-def matcher(benchmark: DataFrame, window: int = WINDOW) -> ItemMatcher:
-    """Checks the benchmark's size before anything is brought to the driver."""
-    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > 8 * MAX_ITEM_WORDS:
-        raise ValueError(f"a benchmark of {size} bytes is too large to be broadcast; cut it into several")
-    rows = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("binary")).collect()
-    return ItemMatcher([("null" if i is None else i, None if t is None else bytes(t)) for i, t in rows], window)
+def matchers(benchmark: DataFrame, window: int = WINDOW, most: int = AUTOMATON_WORDS) -> Iterator[ItemMatcher]:
+    """The items' automata, made one after another, each of most words or fewer; one without items for an empty benchmark."""
+    held: list[tuple[str, bytes]] = []
+    n = made = 0
+    for item_id, text in benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("binary")).toLocalIterator():
+        words = normal_words(None if text is None else bytes(text))
+        most_here = max(most, window)
+        for at in range(0, max(1, len(words) - window + 1), most_here - window + 1):
+            part = words[at : at + most_here]
+            if held and n + len(part) > most:
+                yield ItemMatcher(held, window)
+                held, n, made = [], 0, made + 1
+            held.append(("null" if item_id is None else item_id, b" ".join(part)))
+            n += len(part)
+    if held or not made:
+        yield ItemMatcher(held, window)
+
+
+FOUND = "doc_id long, hash long, n_words long, spans array<struct<s:int,e:int>>, items array<string>"
+SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
 
 
-def find(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and spans: the hit words as [start, end)."""
-    shared = spark.sparkContext.broadcast(matcher(benchmark, window))
+def _scan(docs: DataFrame, items: ItemMatcher, every: bool) -> DataFrame:
+    """FOUND: of each row, or of the rows that are hit, the hit words as [s, e), and the ids of the items that occur."""
+    shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shared.value
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 2):
                 out = []
-                for text in part.column(1).to_pylist():
+                for text in part.column(2).to_pylist():
                     words = normal_words(text)
-                    spans, items = found.hits(words)
-                    out.append((len(words), sum(e - s for s, e in spans), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(spans), [{"s": s, "e": e} for s, e in spans]))
-                columns = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()), pa.array(columns[3]), pa.array(columns[4]), pa.array(columns[5], pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())])))],
-                    ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"],
-                )
-
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(scan, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<s:int,e:int>>")
+                    spans, ids = found.hits(words)
+                    out.append((len(words), [{"s": s, "e": e} for s, e in spans], list(ids)))
+                n, spans, ids = zip(*out, strict=True)
+                rows = pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(n, pa.int64()), pa.array(spans, SPANS), pa.array(ids, pa.list_(pa.string()))], ["doc_id", "hash", "n_words", "spans", "items"])
+                yield rows if every else rows.filter(pa.array([bool(x) for x in spans]))
+
+    text = F.col("text").cast("binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text")).mapInArrow(scan, FOUND)
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, window: int, most: int) -> DataFrame:
+    """FOUND of each row, from as many passes as there are automata."""
+    first, *rest = [_scan(docs, m, k == 0) if k == 0 else written(_scan(docs, m, False), "hits") for k, m in enumerate(matchers(benchmark, window, most))]
+    if not rest:
+        return first
+    hits = rest[0]
+    for more in rest[1:]:
+        hits = hits.unionByName(more)
+    key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "hash"]
+    # Repeated rows are hit alike, so each pass counts once.
+    hits = hits.select(*key, "spans", "items").groupBy("id", "hash").agg(F.flatten(F.collect_set("spans")).alias("more"), F.flatten(F.collect_set("items")).alias("others"))
+    both = first.select("*", key[0]).join(hits.hint("merge"), ["id", "hash"], "left")
+    none = lambda c, kind: F.coalesce(c, F.array().cast(kind))
+    spans = F.array_sort(F.concat("spans", none("more", "array<struct<s:int,e:int>>")))
+    return both.select("doc_id", "hash", "n_words", spans.alias("spans"), F.array_distinct(F.concat("items", none("others", "array<string>"))).alias("items"))
+
+
+def covered(spans: Column) -> Column:
+    """Words in the union of spans, which are sorted and may overlap."""
+    start = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
+    step = lambda a, x: F.struct(F.greatest(a["end"], x["e"]).alias("end"), (a["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(a["end"], x["s"]))).alias("n"))
+    return F.aggregate(spans, start, step)["n"]
+
+
+def find(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = AUTOMATON_WORDS) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and spans: the hit words as [s, e)."""
+    hits = _found(docs, benchmark, window, most)
+    return hits.select(
+        "doc_id", "n_words", covered(F.col("spans")).alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"), "spans",
+    )
 
 
 def op5(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -168,38 +218,65 @@ def _byte_spans(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, in
     return [(starts[s], ends[e - 1]) for s, e in spans]
 
 
-def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
+def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """text without the words of spans, which are sorted and may overlap."""
+    pieces, at = [], 0
+    for s, e in _byte_spans(text, spans):
+        pieces.append(text[at : max(s, at)])
+        at = max(e, at)
+    return b"".join([*pieces, text[at:]])
+
+
+def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE, most: int = AUTOMATON_WORDS) -> DataFrame:
     """docs with its own columns, without the hit spans of its texts and without the documents of which more than max_coverage is hit.
 
-    n_chars, where there is one, is counted anew for texts that change. Documents that aren't hit stay as they are.
+    n_chars, where there is one, is counted anew (in its own type) for texts that change. Documents that aren't hit stay as they are.
     """
-    shared = spark.sparkContext.broadcast(matcher(benchmark, window))
+    rows = numbered(docs)
+    at = docs.columns.index("text")
+    count_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    own = rows.columns
+    automata = matchers(benchmark, window, most)
+    first = next(automata)
+    several = next(automata, None) is not None
+    if several:  # the spans come from as many passes as there are automata
+        text = F.col(place_of(docs, "text")).cast("binary")
+        key = (F.coalesce(F.col(place_of(docs, "doc_id")).cast("long"), F.lit(-(1 << 63))), F.xxhash64(text))
+        hits = _found(docs, benchmark, window, most).where("size(spans) > 0").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "hash", "spans").dropDuplicates(["id", "hash"])
+        rows = rows.withColumns({"id": key[0], "hash": key[1]}).join(hits.hint("merge"), ["id", "hash"], "left").select(*own, "spans")
+    shared = spark.sparkContext.broadcast(None if several else first)
 
     def scrub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = shared.value
         for batch in batches:
-            for part in slices(batch):
-                texts, stays = [], []
-                for text in part.column(1).to_pylist():
+            for part in slices(batch, at):
+                given = part.column(len(own)).to_pylist() if several else None
+                texts, stays, changed = [], [], False
+                for k, text in enumerate(part.column(at).cast(pa.binary()).to_pylist()):
+                    if several and not given[k]:
+                        texts.append(text)
+                        stays.append(True)
+                        continue
                     words = normal_words(text)
-                    spans, _ = found.hits(words)
-                    n_hit = sum(e - s for s, e in spans)
-                    stays.append(not spans or n_hit <= max_coverage * len(words))
-                    if spans and stays[-1]:
-                        pieces, at = [], 0
-                        for s, e in _byte_spans(text, spans):
-                            pieces.append(text[at:s])
-                            at = e
-                        text = b"".join([*pieces, text[at:]])
+                    spans = [(x["s"], x["e"]) for x in given[k]] if several else found.hits(words)[0]
+                    n_hit = len(set().union(*(range(s, e) for s, e in spans)))
+                    stays.append(n_hit <= max_coverage * len(words))
+                    if spans:
+                        changed = True
+                        if stays[-1]:
+                            text = _without(text, spans)
                     texts.append(text)
-                clean = pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary()).cast(pa.string())], ["row", "text"])
-                yield clean.filter(pa.array(stays))
-
-    kind = docs.select(F.struct(*docs.columns).alias("row")).schema
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("binary").alias("text"))
-    out = whole.mapInArrow(scrub, f"row {kind['row'].dataType.simpleString()}, text string")
-    changed = ~F.col("row.text").eqNullSafe(F.col("text"))
-    return out.select(*[F.col("text") if c == "text" else F.when(changed, F.length("text").cast("long")).otherwise(F.col("row.n_chars")).alias("n_chars") if c == "n_chars" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+                columns = part.columns[: len(own)]
+                if changed:
+                    before = columns[at]
+                    columns[at] = pa.array(texts, pa.binary()).cast(before.type)
+                    if count_at is not None:
+                        same = pc.fill_null(pc.equal(before, columns[at]), True)
+                        columns[count_at] = pc.if_else(same, columns[count_at], pc.utf8_length(columns[at]).cast(columns[count_at].type))
+                yield pa.RecordBatch.from_arrays(columns, own).filter(pa.array(stays))
+
+    schema = numbered(docs).schema
+    return rows.mapInArrow(scrub, schema).toDF(*docs.columns)
 
 
 ORACLE = r"""
