@@ -4,18 +4,25 @@ Four kinds of evidence are added up as log-odds for each language:
 
 * the text: hashed byte 3-grams, each language's distribution counted over all labelled documents by grouped
   aggregation (no sample), add-one smoothed and mixed with the uniform one; tempered, as overlapping n-grams repeat each other;
-* the language that markup (or a table's own column) declares, trusted with DECLARED_TRUST;
+* the language that markup declares, trusted with DECLARED_TRUST;
 * the address suffix: how often each language comes with the host's last label, smoothed towards the whole;
 * the host: a prior smoothed hierarchically, the host's votes on top of its parent domain's, that on top of the
   suffix's, that on top of all. The votes are what text and declaration say of each page, added up by host.
 
+No evidence counts twice: a page's own vote is taken out of the votes of its host, parent, suffix and the whole before
+they become its prior, and where labelled documents are judged themselves, their texts are judged by what the other
+fold of the documents (by hash of the text) has taught.
+
 An unknown language competes by a uniform distribution over 3-grams, so that texts which no language explains are
 rejected. Only the table of 3-gram counts (languages x BUCKETS numbers) is brought to the driver and broadcast; the
-tables of hosts are joined, hot hosts apart from the rest.
-
-A text without 3-grams (null, empty or of one or two bytes) is decided by the other evidence, and rejected where
-there is none. Null or malformed urls have no host; all such rows share the whole table's prior. Labels that are null
-are left out of the training; repeated rows count each. Without labelled texts every row is rejected, language null.
+tables of hosts are joined, hot hosts, parents and suffixes apart from the rest.
+
+A text without 3-grams (null, empty or without letters) is decided by the other evidence, and rejected where there is
+none. Null or malformed urls have no host; all such rows share the whole table's prior. Of equally likely languages the
+first by name is taken. Labels that are null are left out of the training; repeated rows count each, in training, in
+votes and in the result. Texts of any length are counted whole, one at a time. Without labelled texts every row is
+rejected, language null. Empty tables give empty results. Other columns are ignored, and kept by keep_identified()
+whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import join_groups, slices, written
+from sparkloom.llm.common import join_groups, numbered, place_of, slices, written
 
 BUCKETS = 4096
 #: Languages whose totals a task holds at once.
@@ -41,6 +48,11 @@ BACKGROUND = 0.2
 #: Votes that a prior of the next wider kind is worth.
 PRIOR_WEIGHT = 10.0
 LEAST_CONFIDENCE = 0.5
+UNKNOWN_PRIOR = 1 / 20
+#: A label is wrong where another language is at least as sure as this.
+SURE = 0.99
+#: Parts of the labelled documents: each is judged by what the others teach.
+FOLDS = 2
 #: Bytes that aren't letters (or parts of characters beyond ASCII) are one kind; A-Z become a-z.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
@@ -55,47 +67,76 @@ def gram_counts(text: bytes | None) -> np.ndarray:
     return np.bincount(grams, minlength=BUCKETS)
 
 
-def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages, and log probability of each bucket under each; labelled has lang and text."""
+def _gram_totals(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Languages, and how often each bucket comes in each fold and language; labelled has lang and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[str, np.ndarray] = {}
+        totals: dict[tuple[str, int], np.ndarray] = {}
 
         def drain() -> Iterator[pa.RecordBatch]:
-            for lang, counts in totals.items():
+            for (lang, fold), counts in totals.items():
                 at = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(counts[at].astype(np.int64))], ["lang", "bucket", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array([fold] * len(at), pa.int32()), pa.array(at.astype(np.int32)), pa.array(counts[at].astype(np.int64))], ["lang", "fold", "bucket", "n"])
             totals.clear()
 
         for batch in batches:
-            for part in slices(batch):
-                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    totals[lang] = totals.get(lang, 0) + gram_counts(text)
+            for part in slices(batch, 2):
+                for lang, fold, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    totals[lang, fold] = totals.get((lang, fold), 0) + gram_counts(text)
                 if len(totals) > HELD_LANGUAGES:  # Spark adds up what is given out more than once
                     yield from drain()
         yield from drain()
 
-    rows = labelled.where("lang IS NOT NULL").select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(run, "lang string, bucket int, n long")
-    counts = rows.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    rows = labelled.where("lang IS NOT NULL").select("lang", fold_of(F.col("text")).alias("fold"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "lang string, fold int, bucket int, n long")
+    counts = rows.groupBy("lang", "fold", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(counts.column("lang").unique().to_pylist())
-    table = np.ones((len(languages), BUCKETS))
+    totals = np.zeros((FOLDS, len(languages), BUCKETS))
     of = pc.index_in(counts.column("lang"), pa.array(languages, pa.string())).to_numpy()
-    table[of, counts.column("bucket").to_numpy()] += counts.column("n").to_numpy()
-    return languages, np.log((1 - BACKGROUND) * table / table.sum(1, keepdims=True) + BACKGROUND / BUCKETS)
+    totals[counts.column("fold").to_numpy(), of, counts.column("bucket").to_numpy()] = counts.column("n").to_numpy()
+    return languages, totals
+
+
+def _log_probabilities(counts: np.ndarray) -> np.ndarray:
+    table = counts + 1
+    return np.log((1 - BACKGROUND) * table / table.sum(-1, keepdims=True) + BACKGROUND / BUCKETS)
+
+
+def fold_of(text: Column) -> Column:
+    """Equal texts lie in one fold."""
+    return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(FOLDS)).cast("int")
+
+
+def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Languages, and log probability of each bucket under each; labelled has lang and text."""
+    languages, totals = _gram_totals(labelled)
+    return languages, _log_probabilities(totals.sum(0))
+
+
+def train_folds(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
+    """Languages, and for each fold what train() gives for all others."""
+    languages, totals = _gram_totals(labelled)
+    return languages, _log_probabilities(totals.sum(0) - totals)
 
 
 def text_evidence(rows: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
-    """rows (row, text): row, n_grams, and evidence: tempered log-likelihood of the text under each language, relative to none."""
-    shared = rows.sparkSession.sparkContext.broadcast(table + np.log(BUCKETS))
+    """rows (row, text, fold): row, n_grams, and evidence: tempered log-likelihood of the text under each language, relative to none.
+
+    table: what train() or train_folds() gives; the fold counts with the latter only.
+    """
+    tables = table if table.ndim == 3 else np.repeat(table[None], FOLDS, 0)
+    shared = rows.sparkSession.sparkContext.broadcast(tables + np.log(BUCKETS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        odds = shared.value.T
+        odds = shared.value
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, 1):
                 counts = np.stack([gram_counts(t) for t in part.column(1).to_pylist()])
-                n = counts.sum(1)
-                scores = counts @ odds * (TEMPER / (TEMPER + n))[:, None]
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * len(odds[0]), pa.int32()), pa.array(scores.ravel()))
+                n, fold = counts.sum(1), part.column(2).to_numpy()
+                scores = np.zeros((len(n), odds.shape[1]))
+                for f in np.unique(fold):
+                    scores[fold == f] = counts[fold == f] @ odds[f].T
+                scores *= (TEMPER / (TEMPER + n))[:, None]
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * odds.shape[1], pa.int32()), pa.array(scores.ravel()))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int64)), flat], ["row", "n_grams", "evidence"])
 
     kind = rows.schema["row"].dataType.simpleString()
@@ -112,44 +153,52 @@ def _smoothed(votes: Column, wider: Column) -> Column:
     return F.zip_with(votes, wider, lambda v, p: (v + PRIOR_WEIGHT * p) / (n + PRIOR_WEIGHT))
 
 
+def _host_votes(found: DataFrame, languages: list[str]) -> tuple[DataFrame, list[int]]:
+    """host, size, and the votes of the host, of its parent domain and of its suffix; the votes of all."""
+    suffix = F.substring_index("host", ".", -1)
+    parent = F.when(F.size(F.split("host", r"\.")) > 2, F.substring_index("host", ".", -2)).otherwise(F.col("host"))
+    hosts = written(_votes(found, "host", languages).withColumns({"suffix": suffix, "parent": parent}), "host-votes")
+    add = [F.sum(F.get("votes", F.lit(i))).alias(f"v{i}") for i in range(len(languages))]
+    whole = F.array(*[F.col(f"v{i}") for i in range(len(languages))])
+    n = hosts.count()
+    total = [x or 0 for x in hosts.agg(*add).first()]
+    for key in ("parent", "suffix"):
+        wider = hosts.groupBy(key).agg(*add, F.count(F.lit(1)).alias("hosts")).select(key, "hosts", whole.alias(f"votes_of_{key}"))
+        hosts = join_groups(hosts, written(wider, f"{key}-votes"), key, "hosts", n).drop("hosts")
+    return written(hosts.select("host", "size", "votes", "votes_of_parent", "votes_of_suffix"), "host-priors"), total
+
+
 def identify(rows: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
     """rows: row (any), text, declared, host. Returns row, n_grams, lang, confidence, accepted.
 
     lang is the likeliest language, confidence its posterior probability with the unknown language among the rivals.
     """
-    spark = rows.sparkSession
     if not languages:
         return rows.select("row", F.lit(0).cast("long").alias("n_grams"), F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"))
     names = F.array(*[F.lit(x) for x in languages])
     host = F.coalesce(F.col("host"), F.lit(""))
-    kept = rows.select(F.struct("row", F.col("declared").alias("declared"), host.alias("host")).alias("row"), F.col("text").cast("binary").alias("text"))
+    kept = rows.select(F.struct("row", F.col("declared").alias("declared"), host.alias("host")).alias("row"), F.col("text").cast("binary").alias("text"), fold_of(F.col("text")).alias("fold"))
     read = text_evidence(kept, languages, table).select("row.row", F.lower("row.declared").alias("declared"), "row.host", "n_grams", "evidence")
     # A declaration "de-AT" declares "de". One that names none of the languages says nothing.
     said = F.substring_index(F.coalesce("declared", F.lit("")), "-", 1)
     trust = F.transform(names, lambda x: F.when(~F.array_contains(names, said), 0.0).when(x == said, float(np.log(DECLARED_TRUST))).otherwise(float(np.log((1 - DECLARED_TRUST) / max(1, len(languages) - 1)))))
     found = read.withColumn("own", F.zip_with("evidence", trust, lambda a, b: a + b))
     best = F.array_max("own")
-    suffix = F.substring_index("host", ".", -1)
-    parent = F.when(F.size(F.split("host", r"\.")) > 2, F.substring_index("host", ".", -2)).otherwise(F.col("host"))
-    found = found.withColumns({"vote": F.when((F.col("n_grams") > 0) | F.array_contains(names, said), F.element_at(names, F.array_position("own", best).cast("int"))), "suffix": suffix, "parent": parent})
-    found = written(found.select("row", "host", "parent", "suffix", "n_grams", "own", "vote"), "language-evidence")
-    hosts = written(_votes(found, "host", languages), "host-votes")
-    wide = hosts.withColumns({"suffix": suffix, "parent": parent})
-    add = [F.sum(F.get("votes", F.lit(i))).alias(f"v{i}") for i in range(len(languages))]
-    whole = F.array(*[F.col(f"v{i}") for i in range(len(languages))])
-    total = wide.agg(*add).select(whole.alias("v")).first()
-    counts = np.array([x or 0 for x in total.v], float)
-    base = (counts + 1) / (counts.sum() + len(languages))
-    prior = F.array(*[F.lit(float(x)) for x in base])
-    suffixes = wide.groupBy("suffix").agg(*add).select("suffix", _smoothed(whole, prior).alias("of_suffix"))
-    parents = wide.groupBy("suffix", "parent").agg(*add).join(suffixes, "suffix").select("parent", "suffix", "of_suffix", _smoothed(whole, F.col("of_suffix")).alias("of_parent"))
-    priors = written(wide.join(parents, ["parent", "suffix"]).select("host", "size", _smoothed(F.col("votes"), F.col("of_parent")).alias("prior")), "host-priors")
-    fused = join_groups(found.select("host", "row", "n_grams", "own", "vote"), priors, "host", "size", found.count())
-    logs = F.zip_with("own", "prior", lambda a, p: a + F.log(p))
-    fused = fused.withColumn("logs", logs)
+    found = found.withColumn("vote", F.when((F.col("n_grams") > 0) | F.array_contains(names, said), F.element_at(names, F.array_position("own", best).cast("int"))))
+    found = written(found.select("row", "host", "n_grams", "own", "vote"), "language-evidence")
+    votes, total = _host_votes(found, languages)
+    fused = join_groups(found, votes, "host", "size", found.count())
+    # The page's own vote is in the votes of its host and all that is wider: it comes off each.
+    mine = F.transform(names, lambda x: F.coalesce(x == F.col("vote"), F.lit(False)).cast("long"))
+    others = lambda votes: F.zip_with(votes, mine, lambda a, b: a - b)
+    n = F.lit(sum(total) + len(languages)) - F.col("vote").isNotNull().cast("long")
+    base = F.transform(others(F.array(*[F.lit(x).cast("long") for x in total])), lambda v: (v + 1) / n)
+    narrow = _smoothed(others(F.col("votes")), _smoothed(others(F.col("votes_of_parent")), _smoothed(others(F.col("votes_of_suffix")), base)))
+    fused = fused.withColumn("prior", F.when(F.col("host") == "", base).otherwise(narrow))
+    fused = fused.withColumn("logs", F.zip_with("own", "prior", lambda a, p: a + F.log(p)))
     top = F.array_max("logs")
     # The unknown language has no evidence for it and the prior of one vote among the host's.
-    rest = F.aggregate("logs", F.exp(F.lit(float(np.log(1 / 20))) - top), lambda s, x: s + F.exp(x - top))
+    rest = F.aggregate("logs", F.exp(F.lit(float(np.log(UNKNOWN_PRIOR))) - top), lambda s, x: s + F.exp(x - top))
     confidence = 1 / rest
     some = F.col("vote").isNotNull()
     lang = F.when(some, F.element_at(names, F.array_position("logs", top).cast("int")))
@@ -182,13 +231,21 @@ def op8(spark: SparkSession, pages: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """docs with its own columns, without those whose language can't be told; lang is taken as declared, source as the host.
+    """docs with its own columns, without those whose language can't be told and those whose lang is wrong for sure.
 
-    Verdicts are a function of text, lang and source, so rows are named by doc_id and a hash of these; the rejected are anti-joined.
+    Texts are judged by what the other fold's labels teach, and by their source's prior (source takes the host's place);
+    a document's own label is no evidence. Where the label names one of the languages and another one is found with
+    a confidence of SURE, the label is wrong. Null labels and labels that no other document has can't be wrong. Verdicts
+    are a function of text, lang and source, so rows are named by doc_id and a hash of these; the rejected are anti-joined.
     """
-    languages, table = train(docs)
-    text = lambda c: F.coalesce(F.col(c), F.lit("\0"))
-    key = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"), F.xxhash64(text("text"), text("lang"), text("source")).alias("hash"))
-    rows = docs.select(key.alias("row"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"))
-    gone = identify(rows, languages, table).where("NOT accepted").select(F.col("row").alias("__row")).distinct()
-    return docs.withColumn("__row", key).join(written(gone, "unidentified"), "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    languages, tables = train_folds(docs)
+    rows = numbered(docs)
+    at = lambda name: F.col(place_of(docs, name)).cast("string")
+    text = lambda name: F.coalesce(at(name), F.lit("\0"))
+    own = F.coalesce(F.col(place_of(docs, "doc_id")).cast("long"), F.lit(-(1 << 63)))
+    keyed = rows.withColumn("key", F.struct(own.alias("id"), F.xxhash64(text("text"), text("lang"), text("source")).alias("hash")))
+    asked = keyed.select(F.struct("key", at("lang").alias("label")).alias("row"), at("text").alias("text"), F.lit(None).cast("string").alias("declared"), at("source").alias("host"))
+    found = identify(asked, languages, tables)
+    wrong = F.col("row.label").isin(languages) & (F.col("row.label") != F.col("lang")) & (F.col("confidence") >= SURE)
+    gone = found.where(~F.col("accepted") | F.coalesce(wrong, F.lit(False))).select("row.key").distinct()
+    return keyed.join(written(gone, "unidentified").hint("merge"), "key", "left_anti").select(*rows.columns).toDF(*docs.columns)
