@@ -8,6 +8,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = re.compile("[^\x20\x09-\x0d]+")
 NORMAL = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -21,7 +23,7 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def near(docs):
+def near(docs, percent=85):
     sets = []
     for _, text in docs:
         w = WORD.findall(lower(text))
@@ -37,7 +39,7 @@ def near(docs):
         for j in range(i):
             common = len(sets[i] & sets[j])
             same_id = docs[i][0] == docs[j][0] and sets[i] and sets[j]
-            if sets[i] and sets[j] and 100 * common >= 85 * (len(sets[i]) + len(sets[j]) - common) or same_id:
+            if sets[i] and sets[j] and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common) or same_id:
                 parent[root(i)] = root(j)
     least = {}
     for i, (d, _) in enumerate(docs):
@@ -118,7 +120,7 @@ def exact(docs):
     return out
 
 
-def lm(docs, order=3, least=2, discount=0.75):
+def lm(docs, order=3, least=1, discount=0.75):
     tokens = [[*WORD.findall(lower(t)), ""] for _, t in docs]
     held = [zlib.crc32(b"" if d is None else str(d).encode()) % 7 == 2 for d, _ in docs]
     count = [Counter() for _ in range(order + 1)]
@@ -147,3 +149,73 @@ def lm(docs, order=3, least=2, discount=0.75):
         score = sum(math.log10(p(tuple(w[max(0, i - order + 1) : i + 1]))) for i in range(len(w)))
         out.append((d, h, len(w), sum((x,) in count[1] for x in w), total, base, score))
     return out
+
+
+def grams(text):
+    """Buckets of the byte 3-grams of the letters' words."""
+    letters = "".join(c if c in LOWER or ord(c) > 127 else " " for c in lower(text)).split()
+    raw = (" " + " ".join(letters) + " ").encode() if letters else b""
+    return [((a * 0x9E3779B1 + b * 0x85EBCA77 + c * 0xC2B2AE3D) % 2**32) >> 20 for a, b, c in zip(raw, raw[1:], raw[2:], strict=False)]
+
+
+def fold(text):
+    return xxhash.xxh64_intdigest((text or "").encode(), seed=42) % 2
+
+
+def languages(rows, labelled, by_fold=False):
+    """(n_grams, lang, confidence, accepted) of each of rows (text, declared, host), from labelled (text, lang)."""
+    names = sorted({x for _, x in labelled if x is not None})
+    counts = {(f, x): Counter() for f in (0, 1) for x in names}
+    for t, x in labelled:
+        if x is not None:
+            counts[fold(t), x].update(grams(t))
+    if not names:
+        return [(0, None, 0.0, False)] * len(rows)
+
+    def odds(f):
+        out = {}
+        for x in names:
+            seen = sum((counts[g, x] for g in (0, 1) if not by_fold or g != f), Counter())
+            total = sum(seen.values()) + 4096
+            out[x] = [math.log((0.8 * (seen[b] + 1) / total + 0.2 / 4096) * 4096) for b in range(4096)]
+        return out
+
+    tables = [odds(0), odds(1)]
+    found = []
+    for t, declared, host in rows:
+        g = grams(t)
+        table = tables[fold(t)]
+        said = (declared or "").lower().split("-")[0]
+        own = {}
+        for x in names:
+            own[x] = sum(table[x][b] for b in g) * 200 / (200 + len(g))
+            if said in names:
+                own[x] += math.log(0.9 if x == said else 0.1 / max(1, len(names) - 1))
+        best = max(own.values())
+        vote = next(x for x in names if own[x] == best) if g or said in names else None
+        labels = (host or "").split(".")
+        keys = ["all", ("s", labels[-1]), ("p", ".".join(labels[-2:])), ("h", host or "")]
+        found.append((len(g), own, vote, keys if host else keys[:1], keys))
+    votes = defaultdict(Counter)
+    for _, _, vote, _, keys in found:
+        for k in keys:
+            votes[k][vote] += vote is not None
+    out = []
+    for n, own, vote, keys, _ in found:
+        prior = None
+        for k in keys:
+            others = {x: votes[k][x] - (x == vote) for x in names}
+            size = sum(others.values())
+            prior = {x: (others[x] + 1) / (size + len(names)) if prior is None else (others[x] + 10 * prior[x]) / (size + 10) for x in names}
+        logs = {x: own[x] + math.log(prior[x]) for x in names}
+        top = max(logs.values())
+        confidence = 1 / (math.exp(math.log(1 / 20) - top) + sum(math.exp(v - top) for v in logs.values())) if vote is not None else 0.0
+        out.append((n, next(x for x in names if logs[x] == top) if vote is not None else None, confidence, vote is not None and confidence >= 0.5))
+    return out
+
+
+def identified(docs):
+    """docs (doc_id, text, lang, source) that stay: their language can be told and isn't surely another than lang."""
+    names = {x[2] for x in docs if x[2] is not None}
+    found = languages([(t, None, s) for _, t, _, s in docs], [(t, x) for _, t, x, _ in docs], by_fold=True)
+    return [d for d, (_, lang, confidence, accepted) in zip(docs, found, strict=True) if accepted and not (d[2] in names and d[2] != lang and confidence >= 0.99)]

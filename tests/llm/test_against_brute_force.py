@@ -66,6 +66,31 @@ def test_cleaning(spark, frame, corpus):
             assert got[d].n_chars == len(got[d].text)
 
 
+def test_decontamination_by_several_automata(spark, frame, corpus):
+    items = [*items_of(spark, corpus), (200, " ".join(corpus[1][1].split()[:40]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for most in (12, 25):  # items are cut, and shared out among automata
+        assert len(list(decontaminate.matchers(bench, most=most))) > 1
+        got = decontaminate.find(spark, frame, bench, most=most).drop("spans")
+        same(got, brute.contaminated(corpus, [("null" if i is None else i, t) for i, t in items]))
+        one = rows(decontaminate.clean(spark, frame, bench))
+        assert rows(decontaminate.clean(spark, frame, bench, most=most)) == one
+
+
+def test_automaton_is_small(spark):
+    import random
+    import tracemalloc
+
+    rng = random.Random(2)
+    text = " ".join(str(rng.randrange(10**5)) for _ in range(20_000)).encode()
+    tracemalloc.start()
+    held = decontaminate.ItemMatcher([("1", text)])
+    size, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held.hits(text.split())[0] == [(0, 20_000)]
+    assert size / 20_000 * decontaminate.AUTOMATON_WORDS < 300 << 20
+
+
 def test_exact_copies(spark, frame, corpus):
     same(exact_dedup.op7(spark, frame), brute.exact(corpus))
 

@@ -1,6 +1,7 @@
 """Nulls, repeated rows and ids, clashing columns and empty tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from sparkloom.llm import common, decontaminate, elias_fano, exact_dedup, language_id, line_dedup, minmax_dedup, ngram_lm, sentencepiece_viterbi, substring_dedup, token_counts, url_filter
 from tests.llm import brute
@@ -28,6 +29,47 @@ def test_odd_rows(spark, odd):
     assert language_id.keep_identified(odd.withColumnRenamed("words", "source")).columns[-1] == "source"
 
 
+def test_decontamination_of_odd_rows(spark, odd):
+    plain = [(r.doc_id, r.text) for r in odd.collect()]
+    bench = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(5, 25))), (2, "now")], "item_id long, text string")
+    assert rows(decontaminate.op5(spark, odd, bench)) == sorted(brute.contaminated(plain, [(1, bench.first().text), (2, "now")]), key=repr)
+    assert rows(decontaminate.find(spark, odd, bench, most=12).drop("spans")) == rows(decontaminate.op5(spark, odd, bench))
+
+
+def test_token_counts_of_the_query(spark):
+    """The whole query, its deletes and revisions and repeated batches, against plain counting."""
+    import public_tokenizers as files
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumns({"docs": F.lit(7), "tokens": F.lit(7), "version": F.lit("x"), "slot": F.lit(1)})
+    extra = [(None, None, None, None), (1, "again", "en", "src1"), (1, "again", "en", "src1"), (5, "", None, "src2"), (10**9, "long " * 100_000, "en", "src1")]
+    docs = docs.select("doc_id", "text", "lang", "source", "docs", "tokens", "version", "slot").unionByName(spark.createDataFrame([(*r, 1, 1, "y", 0) for r in extra], "doc_id long, text string, lang string, source string, docs int, tokens int, version string, slot int"))
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "quality", "toxic")
+    labels = labels.unionByName(spark.createDataFrame([(1, 0, 0), (1, 0, 0), (5, 0, 1), (None, 0, 0)], labels.schema))
+    toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
+    want = {}
+    for r in docs.collect():
+        if r.doc_id in toxic:
+            continue
+        for version, file in token_counts.VERSIONS.items():
+            key = (r.source, r.lang, version)
+            n, t = want.get(key, (0, 0))
+            want[key] = (n + 1, t + len(token_counts.encoding(files.path(file), files.PATTERN).encode_ordinary(r.text or "")))
+    got = {(r.source, r.lang, r.version): (r.n_docs, r.n_tokens) for r in token_counts.op3(spark, docs, labels).collect()}
+    assert got == want
+
+
+def test_revised_ids_are_exactly_those(spark):
+    """Documents that the bitmap admits by chance are not revised."""
+    docs = spark.createDataFrame([(i, f"t {i}", "en", "s") for i in range(200)], "doc_id long, text string, lang string, source string")
+    rollup = token_counts.TokenRollup(spark, common.scratch(spark, "rollup"), {"v": lambda ts: [len(t) for t in ts]})
+    slots, token_counts.SLOTS = token_counts.SLOTS, 1 << 15
+    try:
+        ids = spark.createDataFrame([(i,) for i in range(0, 200, 3)] + [(999,), (None,)], "doc_id long")
+        assert sorted(r.doc_id for r in rollup.count(docs, ids).collect()) == list(range(0, 200, 3))
+    finally:
+        token_counts.SLOTS = slots
+
+
 def test_empty_tables(spark, none):
     bench = spark.createDataFrame([], "item_id long, text string")
     pages = spark.createDataFrame([], "page_id long, url string, html string")

@@ -43,9 +43,9 @@ def test_pipeline_drops_near_copies_from_080(spark, corpus):
 
 def test_pipeline_keeps_what_brute_force_keeps_at_080(spark):
     sf = "/root/testdata/sf0.001"
-    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
-    kept = [(d, t) for d, t in docs if any(c.isalpha() for c in t)]
+    kept = [(d, t) for d, t, _, _ in brute.identified(docs)]
     kept = [(d, t) for (d, t), e in zip(kept, brute.exact(kept), strict=True) if e[3]]
     stay = near_at(kept, 80)
     assert len(near_at(kept, 85) - stay) == 2
