@@ -1,24 +1,32 @@
 """Operator 6: language-model scoring with an Elias-Fano n-gram trie.
 
-Counting. Level 1 counts words (64-bit hashes; the end of a text is a word too, the empty one), level n counts n-grams as
-(rank of the first n-1 words in level n-1, id of the last word). The registered query keeps all n-grams (a min_count of
-1). With a greater min_count, an n-gram that occurs so often has parts that do so as well, so the rest is left out
-before the shuffle without changing what is kept. Tasks add up their own counts
-first, Spark adds up the tasks'.
-
-Trie. Each level is cut into shards by ranges of its contexts, each written by one task as one file in the shared
-folder and memory-mapped by the scorers: the children of all contexts of a shard as one monotone sequence (each
-context's words on top of the last value of the context before), and the pointers to where a context's children
-start, both Elias-Fano coded; 16-bit quantised log10 probabilities and back-off weights; exact counts. A look-up
-takes the context's pointers and the value before them, and searches the successor of the word relative to it. Only
-the list of shards (one line for each SHARD_GRAMS n-grams) is brought to the driver.
-
-Smoothing. Interpolated absolute discounting: p(w|c) = (n(cw) - D) / n(c) + g(c) p(w|c'), g(c) what the kept children
-leave; p(w) = (n(w) + 1) / (N + V + 1), which gives unseen words 1 / (N + V + 1).
+Words. Level 1 counts words (64-bit hashes; the end of a text is a word too, the empty one) and is cut into shards by
+ranges of hashes; a word's id is its rank. Texts are tokenised once more, then stored as ids, in blocks of some
+BLOCK_TOKENS tokens in the shared folder; all that follows reads these.
+
+N-grams. Each block's distinct trigrams (with the bigrams they begin with, and how often each comes in training texts)
+are sorted and cut by ranges of (first, second, third word), and sent, packed, to the parts that own the ranges. So each n-gram of
+a block is shuffled once, as two to seven bytes and not as a row, and a context that a third of all texts share is dealt
+to several parts like any other range. All n-grams are kept, also those that occur once.
+
+Trie. A part's merged n-grams are one shard of the trie: a file that is memory-mapped, with the second words of all
+first words and the third words of all bigrams, each as one monotone sequence (each context's words on top of the last
+value of the context before) with the pointers to where a context's children start, all Elias-Fano coded; 16-bit
+quantised log10 probabilities and weights. A look-up takes the context's pointers and the value before them, and
+searches the successor of the word relative to it. Contexts at a shard's ends may go on in the next one; their totals,
+four for each shard, are added up on the driver before probabilities are written.
+
+Scores. The blocks' n-grams are at their parts already. Each part looks them up in its shard, and sends back the
+probabilities, in the order of the block's n-grams, and the block's task puts them together. So a task opens one shard, and
+never the trie as a whole, however large it grows. Level 1 alone is read by all tasks.
+
+Smoothing. Interpolated absolute discounting: p(w|c) = (n(cw) - D) / n(c) + g(c) p(w|c'), g(c) = D times the distinct
+words after c / n(c); p(w) = (n(w) + 1) / (N + V + 1), which gives unseen words 1 / (N + V + 1). The shards hold the first term
+and g; the sum is taken at scoring.
 
 Null and empty texts have one token, the end. A null doc_id counts as empty text in the split. An empty table gives an
-empty result; without training documents all words are unseen. Repeated rows are counted and scored each.
-Columns other than doc_id and text are ignored.
+empty result; without training documents all words are unseen. Repeated rows are counted and scored each. A text longer
+than a block is a block of its own. Columns other than doc_id and text are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,29 +42,51 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm.common import drop_path, make_path, release, scratch, slices_by_bytes, written
 from sparkloom.llm.elias_fano import EliasFano
 
-ORDER, MIN_COUNT, DISCOUNT = 3, 2, 0.75
-SHARD_GRAMS = 1_000_000
-SLICE_BYTES = 3 << 20
-TALLY = 1_500_000
+DISCOUNT = 0.75
+#: Words of a shard of level 1, tokens of a block and of a part, samples of each part from which the ranges are cut.
+SHARD_WORDS, BLOCK_TOKENS, PART_TOKENS, SAMPLES = 1_000_000, 1_500_000, 2_000_000, 64
+SLICE_BYTES = 1 << 20
 FOLDS, HELD_FOLD = 7, 2
-END = np.array([xxhash.xxh3_64_intdigest(b"")], np.uint64)
+END = xxhash.xxh3_64_intdigest(b"")
 SIGN = np.uint64(1 << 63)
-#: Quantisation: log10 values from LEAST to 0 in 65535 steps.
-LEAST, STEPS = -16.0, 65535
+#: Quantisation: log10 values from LEAST to 0 in 65534 steps; NONE stands for a probability of nought.
+LEAST, STEPS, NONE = -13.0, 65534, 65535
 
 
 def quantised(log10: np.ndarray) -> np.ndarray:
     return np.rint(np.clip(log10 / LEAST, 0, 1) * STEPS).astype(np.uint16)
 
 
-def dequantised(q: np.ndarray) -> np.ndarray:
-    return q.astype(np.float64) * (LEAST / STEPS)
+def probability(q: np.ndarray) -> np.ndarray:
+    return np.where(q == NONE, 0.0, 10.0 ** (q.astype(np.float64) * (LEAST / STEPS)))
+
+
+def pack(arrays: list[np.ndarray]) -> bytes:
+    """Arrays of numbers from 0 up, in as few bytes each as their greatest needs, byte by byte, compressed."""
+    head, planes = [], []
+    for a in arrays:
+        top = int(a.max(initial=0))
+        width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
+        head += [len(a), width]
+        planes.append(np.ascontiguousarray(a, f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([np.array(head, "<i8").tobytes(), *planes]))
+
+
+def unpack(blob: bytes, n: int) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    head, at, out = np.frombuffer(raw, "<i8", 2 * n).tolist(), 16 * n, []
+    for size, width in zip(head[::2], head[1::2], strict=True):
+        plane = np.frombuffer(raw, np.uint8, size * width, at).reshape(width, size)
+        out.append(np.ascontiguousarray(plane.T).view(f"<u{width}").ravel().astype(np.int64))
+        at += size * width
+    return out
 
 
 def save_arrays(uri: str, arrays: dict[str, np.ndarray]) -> None:
@@ -79,7 +109,6 @@ def save_arrays(uri: str, arrays: dict[str, np.ndarray]) -> None:
     store.move(f"{path}.part", path)
 
 
-@lru_cache(maxsize=4096)
 def load_arrays(uri: str) -> dict[str, np.ndarray]:
     """The arrays of a file, memory-mapped; from a remote store by way of an unnamed local copy."""
     from pyarrow import fs
@@ -99,9 +128,21 @@ def load_arrays(uri: str) -> dict[str, np.ndarray]:
     return {name: whole[start + at : start + at + n * np.dtype(kind).itemsize].view(kind) for name, (kind, at, n) in json.loads(bytes(whole[:start])).items()}
 
 
+#: Shards of level 1 are read again and again by a worker.
+_words_file = lru_cache(maxsize=1024)(load_arrays)
+
+
+def coded(arrays: dict[str, np.ndarray], name: str) -> EliasFano:
+    return EliasFano(*(arrays[f"{name}.{x}"] for x in ("low", "high", "ones", "zeros", "shape")))
+
+
+def coding(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
+    return {f"{name}.{k}": v for k, v in EliasFano.parts(values).items()}
+
+
 @dataclass
 class Shard:
-    """Where a shard is, the first and last context (of level 1: word hash) it holds, its n-grams, and the rank of its first."""
+    """A shard of level 1: its file, the first and last word hash it holds, and the rank of its first."""
 
     uri: str
     first: int
@@ -109,352 +150,513 @@ class Shard:
     n: int
     rank: int = 0
 
-    def coded(self, name: str) -> EliasFano:
-        arrays = load_arrays(self.uri)
-        return EliasFano(*(arrays[f"{name}.{x}"] for x in ("low", "high", "ones", "zeros", "shape")))
+
+@dataclass
+class Part:
+    """A shard of levels 2 and 3: its files (queries: the blocks' n-grams), and the totals of the contexts at its ends.
+
+    words: first word of the trigrams -> (count, distinct words after it); pairs: the same of the first two.
+    """
+
+    number: int
+    counts: str
+    queries: str
+    file: str = ""
+    words: dict[int, tuple[int, int]] = field(default_factory=dict)
+    pairs: dict[tuple[int, int], tuple[int, int]] = field(default_factory=dict)
 
 
 @dataclass
-class Trie:
-    """Levels of shards in order of their contexts. train_tokens is N, words is V."""
-
-    levels: list[list[Shard]] = field(default_factory=list)
-    train_tokens: int = 0
-    words: int = 0
-
-    def _by_shard(self, level: int, keys: np.ndarray) -> Iterator[tuple[Shard, np.ndarray]]:
-        """The shards that hold any of the keys, with the keys' places."""
-        shards = self.levels[level - 1]
-        if not shards or not len(keys):
-            return
-        firsts, lasts = np.array([s.first for s in shards], keys.dtype), np.array([s.last for s in shards], keys.dtype)
-        of = np.searchsorted(firsts, keys, "right") - 1
-        of[(of >= 0) & (keys > lasts[of])] = -1
-        order = np.argsort(of, kind="stable")
-        marks = np.searchsorted(of[order], np.arange(len(shards) + 1))
-        for k in np.unique(of[of >= 0]):
-            yield shards[k], order[marks[k] : marks[k + 1]]
+class Words:
+    """Level 1. tokens is N, count is V."""
+
+    shards: list[Shard] = field(default_factory=list)
+    tokens: int = 0
+    count: int = 0
 
-    def word_ids(self, hashes: np.ndarray) -> np.ndarray:
-        """Rank in level 1 of each word hash, -1 for unseen words."""
+    def ids(self, hashes: np.ndarray) -> np.ndarray:
+        """Rank of each word hash, -1 for unseen words."""
         out = np.full(len(hashes), -1, np.int64)
-        for shard, at in self._by_shard(1, hashes):
-            i, same = shard.coded("words").successor(hashes[at] - np.uint64(shard.first))
+        if not self.shards:
+            return out
+        firsts = np.array([s.first for s in self.shards], np.uint64)
+        of = np.searchsorted(firsts, hashes, "right") - 1
+        for k in np.unique(of[of >= 0]):
+            shard = self.shards[k]
+            at = np.flatnonzero((of == k) & (hashes <= np.uint64(shard.last)))
+            i, same = coded(_words_file(shard.uri), "words").successor(hashes[at] - np.uint64(shard.first))
             out[at[same]] = shard.rank + i[same]
         return out
 
-    def find(self, level: int, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Rank in a level (2 or more) of each context's child, -1 where there is none. Contexts and words of -1 have none."""
-        out = np.full(len(context), -1, np.int64)
-        asked = np.flatnonzero((context >= 0) & (word >= 0))
-        for shard, part in self._by_shard(level, context[asked]):
-            at = asked[part]
-            pointers, words = shard.coded("pointers"), shard.coded("words")
-            c = context[at] - shard.first
-            p, q = pointers.get(c).astype(np.int64), pointers.get(c + 1).astype(np.int64)
-            some = np.flatnonzero(p < q)
-            at, p, q = at[some], p[some], q[some]
-            base = np.where(p > 0, words.get(np.maximum(p - 1, 0)) + np.uint64(1), np.uint64(0))
-            i, same = words.successor(base + word[at].astype(np.uint64))
-            good = same & (i < q)
-            out[at[good]] = shard.rank + i[good]
+    def counts(self, ids: np.ndarray) -> np.ndarray:
+        """How often each word occurs in the training texts; 0 for unseen words."""
+        out = np.zeros(len(ids), np.int64)
+        of = np.searchsorted(np.array([s.rank for s in self.shards]), ids, "right") - 1
+        for k in np.unique(of[ids >= 0]):
+            at = np.flatnonzero((of == k) & (ids >= 0))
+            out[at] = _words_file(self.shards[k].uri)["counts"][ids[at] - self.shards[k].rank]
         return out
 
-    def read(self, level: int, name: str, ranks: np.ndarray) -> np.ndarray:
-        """An array's entries at ranks, all of them present."""
-        shards = self.levels[level - 1]
-        of = np.searchsorted(np.array([s.rank for s in shards]), ranks, "right") - 1
-        out = np.zeros(len(ranks), np.int64)
-        for k in np.unique(of):
-            at = np.flatnonzero(of == k)
-            out[at] = load_arrays(shards[k].uri)[name][ranks[at] - shards[k].rank]
-        return out
-
-
-def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs of numbers from -1 up, in order, and of each row its pair's place."""
-    width = int(b.max(initial=0)) + 2
-    if int(a.max(initial=0)) + 2 < (1 << 62) // width:
-        keys, inverse = np.unique((a + 1) * width + b + 1, return_inverse=True)
-        return keys // width - 1, keys % width - 1, inverse
-    order = np.lexsort((b, a))
-    new = np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)])
-    first, inverse = order[new], np.empty(len(a), np.int64)
-    inverse[order] = np.cumsum(new) - 1
-    return a[first], b[first], inverse
 
+@dataclass
+class Trie:
+    """words: level 1; cuts: where the ranges of the parts after the first begin; parts: levels 2 and 3, in order."""
 
-def _by_pair(values: np.ndarray, inverse: np.ndarray, n: int) -> np.ndarray:
-    """Each pair's value, of rows whose values are equal within a pair."""
-    out = np.zeros(n, values.dtype)
-    out[inverse] = values
-    return out
+    words: Words
+    cuts: list[tuple[int, int, int]] = field(default_factory=list)
+    parts: list[Part] = field(default_factory=list)
 
 
-def tokens_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the distinct tokens of the texts, of each token its place among them, and where each text ends."""
-    parts, ends, total = [np.empty(0, np.uint64)], [], 0
-    for text in texts:
-        words = text.lower().split() if text else []
-        parts += [np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)), END]
-        total += len(words) + 1
-        ends.append(total)
-    distinct, places = np.unique(np.concatenate(parts), return_inverse=True)
-    return distinct, places, np.array(ends, np.int64)
-
-
-class Walk:
-    """Ranks of the n-grams that end at each token of some texts, level by level. Each distinct look-up is made once."""
-
-    def __init__(self, trie: Trie, texts: list[bytes | None]):
-        self.trie = trie
-        hashes, self.inverse, self.ends = tokens_of(texts)
-        self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
-        #: Ids of the distinct words, and of each token.
-        self.distinct = trie.word_ids(hashes ^ SIGN)
-        self.ids = self.distinct[self.inverse]
-        self.ranks = [self.ids]
-
-    def counts(self) -> np.ndarray:
-        """How often each distinct word occurs in the training texts; 0 for unseen words."""
-        out = np.zeros(len(self.distinct), np.int64)
-        seen = np.flatnonzero(self.distinct >= 0)
-        out[seen] = self.trie.read(1, "counts", self.distinct[seen])
-        return out
+def in_training(doc_id: Column) -> Column:
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS != HELD_FOLD
 
-    def before(self, ranks: np.ndarray) -> np.ndarray:
-        """The rank that ends one token earlier; -1 at the start of a text."""
-        out = np.concatenate([[-1], ranks[:-1]]).astype(np.int64)
-        out[self.starts[self.starts < len(out)]] = -1
-        return out
 
-    def next_level(self) -> np.ndarray:
-        context = self.before(self.ranks[-1])
-        c, w, inverse = _unique_pairs(context, self.ids)
-        self.ranks.append(self.trie.find(len(self.ranks) + 1, c, w)[inverse])
-        return self.ranks[-1]
+def hashes_of(text: bytes | None) -> np.ndarray:
+    words = text.lower().split() if text else []
+    words.append(b"")
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
-class Tally:
-    """Adds up counts of (context, word) with the rank of the shorter n-gram, in bounded memory."""
+def _by_tokens(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list[np.ndarray]]]:
+    """Rows (doc_id, text, train) in groups of about most tokens: their (doc_id, train), and the token hashes of their texts."""
+    rows: list[tuple] = []
+    tokens: list[np.ndarray] = []
+    n = 0
+    for batch in batches:
+        for part in slices_by_bytes(batch, 1, SLICE_BYTES):
+            for doc_id, text, train in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                found = hashes_of(text)
+                if rows and n + len(found) > most:
+                    yield rows, tokens
+                    rows, tokens, n = [], [], 0
+                rows.append((doc_id, train))
+                tokens.append(found)
+                n += len(found)
+    if rows:
+        yield rows, tokens
 
-    def __init__(self) -> None:
-        self.held: list[tuple[np.ndarray, ...]] = []
-        self.rows = 0
 
-    def add(self, a: np.ndarray, b: np.ndarray, low: np.ndarray, n: np.ndarray) -> None:
-        self.held.append((a, b, low, n))
-        self.rows += len(a)
-        if self.rows > TALLY and len(self.held) > 1:
-            merged = self.merged()
-            self.held, self.rows = [merged], len(merged[0])
+def _rows(docs: DataFrame, train: Column) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"), train.alias("train"))
 
-    def merged(self) -> tuple[np.ndarray, ...]:
-        a, b, low, n = (np.concatenate(x) for x in zip(*self.held, strict=True))
-        a2, b2, inverse = _unique_pairs(a, b)
-        return a2, b2, _by_pair(low, inverse, len(a2)), np.bincount(inverse, n, len(a2)).astype(np.int64)
 
-    def drain(self) -> Iterator[tuple[np.ndarray, ...]]:
-        if self.held:
-            yield self.merged()
-        self.held, self.rows = [], 0
+def count_words(docs: DataFrame, train: Column, folder: str) -> Words:
+    """Level 1 of the training texts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, tokens in _by_tokens(batches, BLOCK_TOKENS):
+            words, n = np.unique(np.concatenate(tokens), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array((words ^ SIGN).view(np.int64)), pa.array(n)], ["w", "n"])
 
-def in_training(doc_id: Column) -> Column:
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS != HELD_FOLD
+    counts = written(_rows(docs.where(train), train).mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n")), "words")
+    found = Words()
+    found.count, found.tokens = (x or 0 for x in counts.agg(F.count(F.lit(1)), F.sum("n")).first())
 
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            w, n = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (0, 1))
+            keys = w.view(np.uint64) ^ SIGN
+            uri = f"{folder}/words-{uuid.uuid4().hex}"
+            save_arrays(uri, coding("words", keys - keys[0]) | {"counts": n.astype(np.uint32) if n.max() < 1 << 32 else n})
+            yield pa.RecordBatch.from_pylist([{"uri": uri, "first": str(keys[0]), "last": str(keys[-1]), "n": len(n)}])
+
+    if found.count:
+        cut = counts.repartitionByRange(-(-found.count // SHARD_WORDS), "w").sortWithinPartitions("w")
+        made = cut.mapInArrow(write, "uri string, first string, last string, n long").collect()
+        found.shards = sorted((Shard(r.uri, int(r.first), int(r.last), r.n) for r in made), key=lambda s: s.first)
+        for before, shard in zip(found.shards, found.shards[1:], strict=False):
+            shard.rank = before.rank + before.n
+    _drop(counts)
+    return found
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("text").cast("binary").alias("text"))
 
+def _drop(table: DataFrame) -> None:
+    """Removes the files of a written table."""
+    for file in table.inputFiles()[:1]:
+        drop_path(table.sparkSession, file.rpartition("/")[0])
 
-def _count_words(train: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        rows = 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, inverse = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-            return keys, np.bincount(inverse, np.concatenate([n for _, n in held]), len(keys)).astype(np.int64)
+def _unique_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of numbers from 0 up, in order, and of each row its pair's place."""
+    width = int(b.max(initial=0)) + 1
+    if int(a.max(initial=0)) + 1 < (1 << 62) // width:
+        keys, inverse = np.unique(a * width + b, return_inverse=True)
+        return keys // width, keys % width, inverse
+    order = np.lexsort((b, a))
+    new = np.concatenate([[True], (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)])
+    first, inverse = order[new], np.empty(len(a), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return a[first], b[first], inverse
 
-        for batch in batches:
-            for part in slices_by_bytes(batch, 0, SLICE_BYTES):
-                hashes, inverse, _ = tokens_of(part.column(0).to_pylist())
-                held.append((hashes ^ SIGN, np.bincount(inverse, minlength=len(hashes))))
-                rows += len(held[-1][0])
-                if rows > TALLY and len(held) > 1:
-                    out = merged()
-                    held, rows = [out], len(out[0])
-                    if rows > TALLY:
-                        yield pa.RecordBatch.from_arrays([pa.array((out[0] ^ SIGN).view(np.int64)), pa.array(out[1])], ["w", "n"])
-                        held, rows = [], 0
-        if held:
-            out = merged()
-            yield pa.RecordBatch.from_arrays([pa.array((out[0] ^ SIGN).view(np.int64)), pa.array(out[1])], ["w", "n"])
 
-    return _texts(train).mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+def _starts(of: np.ndarray, n: int) -> np.ndarray:
+    """Where the rows of each of n numbers start in a sorted array, and its length."""
+    return np.searchsorted(of, np.arange(n + 1))
+
+
+class Grams:
+    """The n-grams of a block: one for each token that has another one behind it and is a known word.
+
+    a, b, c: that word and the two behind it, b and c as unseen where they are, c as none where the text ends or b is
+    unseen. at: the token's place. Distinct pairs (a, b) are numbered, and distinct (pair, c).
+    """
+
+    def __init__(self, ids: np.ndarray, ends: np.ndarray, count: int):
+        unseen, none = count, count + 1
+        last = np.zeros(len(ids) + 2, bool)
+        last[ends - 1] = True
+        word = np.concatenate([np.where(ids < 0, unseen, ids), [none, none]])
+        self.at = np.flatnonzero(~last[: len(ids)] & (ids >= 0))
+        a, b = word[self.at], word[self.at + 1]
+        c = np.where(last[self.at + 1] | (b == unseen), none, word[self.at + 2])
+        self.third = c != none
+        self.a, self.b, self.pair = _unique_pairs(a, b)
+        self.of, self.c, self.gram = _unique_pairs(self.pair, c)
+        self.start = _starts(self.of, len(self.a))
+
+    def place(self, cut: tuple[int, int, int]) -> int:
+        """How many of the distinct trigrams lie before a cut."""
+        low, high = np.searchsorted(self.a, cut[0], "left"), np.searchsorted(self.a, cut[0], "right")
+        p = low + np.searchsorted(self.b[low:high], cut[1], "left")
+        if p < high and self.b[p] == cut[1]:
+            return int(self.start[p] + np.searchsorted(self.c[self.start[p] : self.start[p + 1]], cut[2], "left"))
+        return int(self.start[p])
+
+    def parts(self, cuts: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each part that has any: its number, the range of its trigrams, their distinct first words, how many pairs each of these has, and how many trigrams each pair."""
+        marks = [0, *map(self.place, cuts), len(self.c)]
+        for k, (low, high) in enumerate(zip(marks, marks[1:], strict=False)):
+            if low < high:
+                p = self.of[low]
+                words, pairs = np.unique(self.a[p : self.of[high - 1] + 1], return_counts=True)
+                yield k, low, high, words, pairs, np.bincount(self.of[low:high] - p)
 
 
-def _count_grams(train: DataFrame, trie: Trie, level: int, min_count: int) -> DataFrame:
-    """c (rank of the first level - 1 words), w (id of the last), low (rank of the last level - 1 words), n."""
-    shared = train.sparkSession.sparkContext.broadcast(trie)
+@dataclass
+class Blocks:
+    """Texts as ids: a table of (block, docs, tokens), a file for each block, and all blocks' tokens."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally()
+    table: DataFrame
+    folder: str
+    tokens: int
+    cuts: list[tuple[int, int, int]]
 
-        def out(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["c", "w", "low", "n"])
 
-        for batch in batches:
-            for part in slices_by_bytes(batch, 0, SLICE_BYTES):
-                walk = Walk(shared.value, part.column(0).to_pylist())
-                if level == 2:  # words that are too rare can't be part of a frequent pair
-                    common = np.where(walk.counts() >= min_count, walk.distinct, -1)[walk.inverse]
-                    low = common
-                else:
-                    for _ in range(level - 2):
-                        walk.next_level()
-                    low = walk.ranks[-1]
-                context = walk.before(low)
-                at = np.flatnonzero((context >= 0) & (low >= 0))
-                c, w, inverse = _unique_pairs(context[at], walk.ids[at])
-                tally.add(c, w, _by_pair(low[at], inverse, len(c)), np.bincount(inverse, minlength=len(c)).astype(np.int64))
-                if tally.rows > TALLY:
-                    yield from map(out, tally.drain())
-        yield from map(out, tally.drain())
-
-    rows = _texts(train).mapInArrow(run, "c long, w long, low long, n long")
-    total = F.sum("n").alias("n")
-    if level == 2:  # low is w
-        return rows.groupBy("c", "w").agg(total).where(F.col("n") >= min_count).select("c", "w", F.col("w").alias("low"), "n")
-    return rows.groupBy("c", "w").agg(F.min("low").alias("low"), total).where(F.col("n") >= min_count)
-
-
-def _write_level(counts: DataFrame, trie: Trie, level: int, folder: str) -> list[Shard]:
-    """Cuts sorted counts into shards and writes them; discount and interpolation happen here, shard by shard."""
-    spark = counts.sparkSession
-    total = counts.count()
-    if not total:
-        return []
-    shared = spark.sparkContext.broadcast(trie)
-    n_total, n_words = trie.train_tokens, trie.words
+def encode(docs: DataFrame, train: Column, words: Words, folder: str) -> Blocks:
+    """Tokenises all texts and stores them as ids; samples tokens with the two behind them to cut the ranges of parts."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(words)
+    step = max(1, PART_TOKENS // SAMPLES, words.tokens // 2_000_000)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
-            return
-        cols = [np.concatenate([b.column(i).to_numpy() for b in held]) for i in range(held[0].num_columns)]
-        uri = f"{folder}/level-{level}-{uuid.uuid4().hex}"
-        n = cols[-1]
-        arrays = {"counts": n.astype(np.uint32) if n.max() < 1 << 32 else n}
-        if level == 1:
-            keys = cols[0].view(np.uint64) ^ SIGN
-            first, last = int(keys[0]), int(keys[-1])
-            coded = EliasFano.parts(keys - keys[0])
-            prob = (n + 1) / (n_total + n_words + 1)
-        else:
-            c, w, low = cols[:3]
-            first, last = int(c[0]), int(c[-1])
-            start = np.flatnonzero(np.concatenate([[True], np.diff(c) != 0]))
-            size = np.diff(np.concatenate([start, [len(c)]]))
-            pointers = np.zeros(last - first + 2, np.uint64)
-            pointers[c[start] - first + 1] = size
-            arrays |= {f"pointers.{k}": v for k, v in EliasFano.parts(np.cumsum(pointers)).items()}
-            tops = w[start + size - 1].astype(np.uint64) + np.uint64(1)
-            bases = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tops)[:-1]])
-            coded = EliasFano.parts(np.repeat(bases, size) + w.astype(np.uint64))
-            of = shared.value.read(level - 1, "counts", c[start]).astype(np.float64)
-            kept = np.maximum(n - DISCOUNT, 0) / np.repeat(of, size)
-            left = np.maximum(1 - np.add.reduceat(kept, start), 10.0**LEAST)
-            prob = kept + np.repeat(left, size) * 10 ** dequantised(shared.value.read(level - 1, "probs", low))
-            weights = np.zeros(last - first + 1, np.uint16)
-            weights[c[start] - first] = quantised(np.log10(left))
-            arrays["weights"] = weights
-        arrays |= {f"words.{k}": v for k, v in coded.items()} | {"probs": quantised(np.log10(prob))}
-        save_arrays(uri, arrays)
-        yield pa.RecordBatch.from_pylist([{"uri": uri, "first": str(first), "last": str(last), "n": len(n)}])
-
-    key = "w" if level == 1 else "c"
-    cut = counts.repartitionByRange(-(-total // SHARD_GRAMS), key).sortWithinPartitions(*([key] if level == 1 else ["c", "w"]))
-    made = cut.mapInArrow(run, "uri string, first string, last string, n long").collect()
-    shards = sorted((Shard(r.uri, int(r.first), int(r.last), r.n) for r in made), key=lambda s: s.first)
-    rank = 0
-    for s in shards:
-        s.rank = rank
-        rank += s.n
-    return shards
-
-
-def _drop(counts: DataFrame) -> None:
-    """Removes the files of a written table."""
-    for file in counts.inputFiles()[:1]:
-        drop_path(counts.sparkSession, file.rpartition("/")[0])
+        known = shared.value
+        kind = np.int32 if known.count < 1 << 31 else np.int64
+        for rows, tokens in _by_tokens(batches, BLOCK_TOKENS):
+            ends = np.cumsum([len(x) for x in tokens])
+            distinct, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
+            ids = known.ids(distinct)[inverse]
+            name = uuid.uuid4().hex
+            train = np.array([bool(x[1]) for x in rows])
+            doc_ids, null = np.array([x[0] or 0 for x in rows], np.int64), np.array([x[0] is None for x in rows])
+            save_arrays(f"{folder}/block-{name}", {"ids": ids.astype(kind), "ends": ends, "doc_id": doc_ids, "null": null, "train": train})
+            some = np.where(ids < 0, known.count, ids)[::step]
+            behind = [np.concatenate([np.where(ids < 0, known.count, ids)[k:], np.full(k, known.count + 1)])[::step] for k in (1, 2)]
+            sample = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (some, *behind)]
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(rows)], pa.int64()), pa.array([len(ids)], pa.int64()), *sample], ["block", "docs", "tokens", "a", "b", "c"])
+
+    table = written(_rows(docs, train).mapInArrow(run, "block string, docs long, tokens long, a array<long>, b array<long>, c array<long>"), "blocks")
+    total = table.agg(F.sum("tokens")).first()[0] or 0
+    n = -(-total // PART_TOKENS)
+    cuts: list[tuple[int, int, int]] = []
+    if n > 1:
+        held = table.select("a", "b", "c").toArrow()
+        a, b, c = (np.concatenate([x.values.to_numpy() for x in held.column(k).chunks]) for k in range(3))
+        order = np.lexsort((c, b, a))
+        picked = order[np.arange(1, n) * len(order) // n]
+        cuts = sorted(set(zip(a[picked].tolist(), b[picked].tolist(), c[picked].tolist(), strict=True)))
+    return Blocks(table.select("block", "docs", "tokens"), folder, total, cuts)
+
+
+def _spread(table: DataFrame, tokens: int) -> DataFrame:
+    """A block or two for each task."""
+    return table.repartition(max(1, -(-tokens // BLOCK_TOKENS)), "block")
+
+
+def _dealt(blocks: Blocks, count: int) -> DataFrame:
+    """part, block, grams: each block's distinct trigrams of each part, packed: first words, pairs of each, second words, trigrams of each, third words, counts in training."""
+    folder, shared = blocks.folder, blocks.table.sparkSession.sparkContext.broadcast(blocks.cuts)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                held = load_arrays(f"{folder}/block-{name}")
+                ids, ends = held["ids"].astype(np.int64), held["ends"]
+                grams = Grams(ids, ends, count)
+                train = np.repeat(held["train"], np.diff(np.concatenate([[0], ends])))[grams.at]
+                n = np.bincount(grams.gram[train], minlength=len(grams.c))
+                for k, low, high, words, pairs, children in grams.parts(shared.value):
+                    seconds = grams.b[grams.of[low] : grams.of[high - 1] + 1]
+                    blob = pack([words, pairs, seconds, children, grams.c[low:high], n[low:high]])
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([name]), pa.array([blob])], ["part", "block", "grams"])
+
+    return _spread(blocks.table, blocks.tokens).mapInArrow(run, "part int, block string, grams binary")
+
+
+def _by_key(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[object, list[tuple]]]:
+    """Rows of a sorted stream, by the value of a column."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if rows and row[column] != key:
+                yield key, rows
+                rows = []
+            key = row[column]
+            rows.append(row)
+    if rows:
+        yield key, rows
+
+
+def _merge(blobs: list[bytes], count: int) -> list[np.ndarray]:
+    """The training n-grams of some blocks added up: first words, pairs of each, second words, counts, trigrams of each pair, third words, counts."""
+    cols: list[list[np.ndarray]] = [[], [], [], []]
+    for blob in blobs:
+        words, pairs, seconds, children, thirds, n = unpack(blob, 6)
+        some = n > 0
+        for held, x in zip(cols, (np.repeat(np.repeat(words, pairs), children), np.repeat(seconds, children), thirds, n), strict=True):
+            held.append(x[some])
+    a, b, c, n = (np.concatenate(x) if x else np.empty(0, np.int64) for x in cols)
+    a, b, pair = _unique_pairs(a, b)
+    n2 = np.bincount(pair, n, len(a)).astype(np.int64)
+    whole = c < count
+    of, c, gram = _unique_pairs(pair[whole], c[whole])
+    n3 = np.bincount(gram, n[whole], len(c)).astype(np.int64)
+    words, pairs = np.unique(a, return_counts=True)
+    return [words, pairs, b, n2, np.bincount(of, minlength=len(a)), c, n3]
+
+
+def _ends(merged: list[np.ndarray]) -> dict:
+    """Counts and distinct children of the first and last word and pair of a part."""
+    words, pairs, seconds, n2, children, _, _ = merged
+    start = np.concatenate([[0], np.cumsum(pairs)])
+    of = np.repeat(words, pairs)
+    tell = lambda k: [int(words[k]), int(n2[start[k] : start[k + 1]].sum()), int(pairs[k])]
+    pair = lambda p: [int(of[p]), int(seconds[p]), int(n2[p]), int(children[p])]
+    return {"words": [tell(k) for k in sorted({0, len(words) - 1})], "pairs": [pair(p) for p in sorted({0, len(seconds) - 1})]}
+
+
+def _totals(parts: list[Part], ends: list[dict | None]) -> None:
+    """Gives each part the totals of the contexts at its ends, over all parts that hold some of them."""
+    words: dict[int, list[int]] = {}
+    pairs: dict[tuple[int, int], list[int]] = {}
+    for end in filter(None, ends):
+        fresh = 0
+        for a, b, n, children in end["pairs"]:
+            seen = (a, b) in pairs
+            fresh += seen  # a pair that an earlier part has begun is one child of its word and not two
+            held = pairs.setdefault((a, b), [0, 0])
+            held[0] += n
+            held[1] += children
+        for k, (a, n, children) in enumerate(end["words"]):
+            held = words.setdefault(a, [0, 0])
+            held[0] += n
+            held[1] += children - (fresh if k == 0 else 0)
+    for part, end in zip(parts, ends, strict=True):
+        if end:
+            part.words = {a: tuple(words[a]) for a, _, _ in end["words"]}
+            part.pairs = {(a, b): tuple(pairs[a, b]) for a, b, _, _ in end["pairs"]}
+
+
+def _sequence(contexts: int, context: np.ndarray, word: np.ndarray, name: str) -> dict[str, np.ndarray]:
+    """Pointers of contexts 0 to contexts - 1 and the words of each, on top of the last value of the context before."""
+    size = np.bincount(context, minlength=contexts)
+    pointers = np.concatenate([[0], np.cumsum(size)])
+    some = np.flatnonzero(size)
+    bases = np.concatenate([[0], np.cumsum(word[pointers[some + 1] - 1] + 1)[:-1]]).astype(np.uint64) if len(some) else np.empty(0, np.uint64)
+    return coding(f"pointers{name}", pointers) | coding(f"words{name}", np.repeat(bases, size[some]) + word.astype(np.uint64))
+
+
+def shard_arrays(merged: list[np.ndarray], part: Part) -> dict[str, np.ndarray]:
+    """The arrays of a part's file."""
+    words, pairs, seconds, n2, children, thirds, n3 = merged
+    first = int(words[0])
+    context, pair = np.repeat(words - first, pairs), np.repeat(np.arange(len(seconds)), children)
+    n1, after = np.bincount(context, n2), np.bincount(context)
+    for a, (n, distinct) in part.words.items():
+        n1[a - first], after[a - first] = n, distinct
+    of = np.repeat(words, pairs)
+    total, behind = n2.astype(np.float64), children.astype(np.float64)
+    for (a, b), (n, distinct) in part.pairs.items():
+        p = np.flatnonzero((of == a) & (seconds == b))
+        total[p], behind[p] = n, distinct
+    with np.errstate(divide="ignore", invalid="ignore"):  # contexts without children have no weight: it is asked for by nobody
+        weights = [quantised(np.where(d > 0, np.log10(DISCOUNT * d / n), 0.0)) for d, n in ((after, n1), (behind, total))]
+    arrays = {"first": np.array([first, int(words[-1])], np.int64), "weights2": weights[0], "weights3": weights[1]}
+    arrays |= {"probs2": quantised(np.log10((total - DISCOUNT) / n1[context])), "probs3": quantised(np.log10((n3 - DISCOUNT) / total[pair]))}
+    return arrays | _sequence(int(words[-1]) - first + 1, context, seconds, "2") | _sequence(len(seconds), pair, thirds, "3")
+
+
+class TrieShard:
+    """A part's file, memory-mapped."""
+
+    def __init__(self, arrays: dict[str, np.ndarray]):
+        self.arrays = arrays
+        self.first, self.last = arrays["first"].tolist()
+        self.levels = {n: (coded(arrays, f"pointers{n}"), coded(arrays, f"words{n}")) for n in "23"}
+
+    def find(self, level: str, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Place of each context's child, -1 where there is none."""
+        pointers, words = self.levels[level]
+        out = np.full(len(context), -1, np.int64)
+        start, stop = pointers.get(context).astype(np.int64), pointers.get(context + 1).astype(np.int64)
+        some = np.flatnonzero(start < stop)
+        start, stop = start[some], stop[some]
+        base = np.where(start > 0, words.get(np.maximum(start - 1, 0)) + np.uint64(1), np.uint64(0))
+        i, same = words.successor(base + word[some].astype(np.uint64))
+        good = same & (i < stop)
+        out[some[good]] = i[good]
+        return out
 
-def train_trie(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT) -> Trie:
-    """The trie of all whole texts of docs, in a new folder of the shared store."""
-    spark = docs.sparkSession
-    folder = scratch(spark, "ngram-trie")
-    make_path(spark, folder)
-    counts = written(_count_words(docs), "words")
-    trie = Trie()
-    trie.words, trie.train_tokens = (x or 0 for x in counts.agg(F.count(F.lit(1)), F.sum("n")).first())
-    trie.levels.append(_write_level(counts, trie, 1, folder))
-    for level in range(2, order + 1):
-        release(spark)
-        _drop(counts)  # the level before is in its shards
-        counts = written(_count_grams(docs, trie, level, min_count), "grams")
-        release(spark)
-        trie.levels.append(_write_level(counts, trie, level, folder))
-    _drop(counts)
+    def answer(self, grams: list[np.ndarray]) -> list[np.ndarray]:
+        """Of n-grams as _dealt() packs them: weights of the first words, probabilities and weights of the pairs, probabilities of the trigrams."""
+        words, pairs, seconds, children, thirds = grams[:5]
+        inside = (words >= self.first) & (words <= self.last)
+        weights2 = np.zeros(len(words), np.uint16)
+        weights2[inside] = self.arrays["weights2"][words[inside] - self.first]
+        place = np.full(len(seconds), -1, np.int64)
+        asked = np.flatnonzero(np.repeat(inside, pairs))
+        place[asked] = self.find("2", np.repeat(words, pairs)[asked] - self.first, seconds[asked])
+        known = place >= 0
+        probs2, weights3 = np.full(len(seconds), NONE, np.uint16), np.zeros(len(seconds), np.uint16)
+        probs2[known], weights3[known] = self.arrays["probs2"][place[known]], self.arrays["weights3"][place[known]]
+        probs3 = np.full(len(thirds), NONE, np.uint16)
+        of = np.repeat(place, children)
+        asked = np.flatnonzero(of >= 0)
+        found = self.find("3", of[asked], thirds[asked])
+        hit = found >= 0
+        probs3[asked[hit]] = self.arrays["probs3"][found[hit]]
+        return [weights2, probs2, weights3, probs3]
+
+
+def train_trie(blocks: Blocks, words: Words) -> Trie:
+    """Levels 2 and 3 of the blocks' training texts; the blocks' n-grams stay at the parts, to be looked up."""
+    spark, folder, count = blocks.table.sparkSession, blocks.folder, words.count
+    trie = Trie(words, blocks.cuts)
+    if not blocks.tokens:
+        return trie
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, rows in _by_key(batches, 0):
+            merged = _merge([blob for _, _, blob in rows], count)
+            uri = f"{folder}/part-{uuid.uuid4().hex}"
+            sizes = np.cumsum([len(blob) for _, _, blob in rows])
+            save_arrays(f"{uri}-queries", {"ends": sizes, "blocks": np.frombuffer("".join(name for _, name, _ in rows).encode(), np.uint8), "grams": np.frombuffer(b"".join(blob for _, _, blob in rows), np.uint8)})
+            some = len(merged[0]) > 0
+            if some:
+                save_arrays(f"{uri}-counts", {"packed": np.frombuffer(pack(merged), np.uint8)})
+            yield pa.RecordBatch.from_pylist([{"part": k, "uri": uri, "ends": json.dumps(_ends(merged)) if some else None}])
+
+    dealt = _dealt(blocks, count).repartition(len(blocks.cuts) + 1, "part").sortWithinPartitions("part")
+    made = written(dealt.mapInArrow(merge, "part long, uri string, ends string"), "parts")
+    rows = made.orderBy("part").collect()
     release(spark)
-    return trie
-
+    trie.parts = [Part(r.part, f"{r.uri}-counts" if r.ends else "", f"{r.uri}-queries") for r in rows]
+    _totals(trie.parts, [json.loads(r.ends) if r.ends else None for r in rows])
+    shared = spark.sparkContext.broadcast({p.number: p for p in trie.parts})
 
-def _scores(walk: Walk, trie: Trie) -> tuple[np.ndarray, ...]:
-    """For each text: tokens, known tokens, base and model log10 probability."""
-    ids = walk.ids
-    base = np.log10((walk.counts() + 1) / (trie.train_tokens + trie.words + 1))[walk.inverse]
-    model = base.copy()
-    for level in range(2, len(trie.levels) + 1):
-        context = walk.before(walk.ranks[-1])
-        ranks = walk.next_level()
-        hit = np.flatnonzero(ranks >= 0)
-        model[hit] = dequantised(_read_distinct(lambda r, n=level: trie.read(n, "probs", r), ranks[hit]))
-        miss = np.flatnonzero((ranks < 0) & (context >= 0))
-        model[miss] += _read_distinct(lambda c, n=level: _weights(trie, n, c), context[miss])
-    add = lambda x: np.add.reduceat(x, walk.starts) if len(walk.starts) else np.empty(0)
-    return np.diff(np.concatenate([[0], walk.ends])), add((ids >= 0).astype(np.int64)), add(base), add(model)
-
-
-def _read_distinct(read: object, keys: np.ndarray) -> np.ndarray:
-    distinct, inverse = np.unique(keys, return_inverse=True)
-    return read(distinct)[inverse]
-
-
-def _weights(trie: Trie, level: int, contexts: np.ndarray) -> np.ndarray:
-    """log10 of the back-off weight of each context; 0 for those without children."""
-    out = np.zeros(len(contexts))
-    for shard, at in trie._by_shard(level, contexts):
-        out[at] = dequantised(load_arrays(shard.uri)["weights"][contexts[at] - shard.first])
-    return out
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number in batch.column(0).to_pylist():
+                part = shared.value[number]
+                uri = f"{folder}/trie-{uuid.uuid4().hex}"
+                save_arrays(uri, shard_arrays(unpack(bytes(load_arrays(part.counts)["packed"]), 7), part))
+                yield pa.RecordBatch.from_pylist([{"part": number, "uri": uri}])
+
+    full = [(p.number,) for p in trie.parts if p.counts]
+    if full:
+        files = spark.createDataFrame(full, "part int").repartition(len(full), "part").mapInArrow(finish, "part long, uri string").collect()
+        of = {r.part: r.uri for r in files}
+        for p in trie.parts:
+            p.file = of.get(p.number, "")
+            if p.counts:
+                drop_path(spark, p.counts)
+    _drop(made)
+    return trie
 
 
-def score(docs: DataFrame, trie: Trie) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score, score of each row."""
-    shared = docs.sparkSession.sparkContext.broadcast(trie)
+def _answers(blocks: Blocks, trie: Trie) -> DataFrame:
+    """block, part, found: what each part has of each block's n-grams."""
+    spark = blocks.table.sparkSession
+    shared = spark.sparkContext.broadcast({p.number: p for p in trie.parts})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices_by_bytes(batch, 1, SLICE_BYTES):
-                rows = _scores(Walk(shared.value, part.column(1).to_pylist()), shared.value)
-                kinds = (np.int64, np.int64, np.float64, np.float64)
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x.astype(k)) for x, k in zip(rows, kinds, strict=True))], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+            for number in batch.column(0).to_pylist():
+                part = shared.value[number]
+                shard = TrieShard(load_arrays(part.file)) if part.file else None
+                asked = load_arrays(part.queries)
+                names, start = bytes(asked["blocks"]).decode(), 0
+                for k, end in enumerate(asked["ends"].tolist()):
+                    grams = unpack(bytes(asked["grams"][start:end]), 6)
+                    none = [np.zeros(len(grams[0]), np.uint16), np.full(len(grams[2]), NONE, np.uint16), np.zeros(len(grams[2]), np.uint16), np.full(len(grams[4]), NONE, np.uint16)]
+                    found = pack(shard.answer(grams) if shard else none)
+                    yield pa.RecordBatch.from_arrays([pa.array([names[32 * k : 32 * k + 32]]), pa.array([number], pa.int32()), pa.array([found])], ["block", "part", "found"])
+                    start = end
+
+    numbers = spark.createDataFrame([(p.number,) for p in trie.parts], "part int")
+    return numbers.repartition(max(1, len(trie.parts)), "part").mapInArrow(run, "block string, part int, found binary")
+
+
+def _scores(held: dict[str, np.ndarray], found: list[bytes], trie: Trie) -> tuple[np.ndarray, ...]:
+    """For each text of a block: tokens, known tokens, base and model log10 probability. found: the parts' answers, in order."""
+    words = trie.words
+    ids, ends = held["ids"].astype(np.int64), held["ends"]
+    starts = np.concatenate([[0], ends[:-1]])
+    distinct, inverse = np.unique(ids, return_inverse=True)
+    alone = ((words.counts(distinct) + 1) / (words.tokens + words.count + 1))[inverse]
+    grams = Grams(ids, ends, words.count)
+    cols: list[list[np.ndarray]] = [[], [], [], []]
+    for (_, _, _, _, pairs, children), blob in zip(grams.parts(trie.cuts), found, strict=True):
+        weights2, probs2, weights3, probs3 = unpack(blob, 4)
+        for col, x in zip(cols, (np.repeat(np.repeat(weights2, pairs), children), np.repeat(probs2, children), np.repeat(weights3, children), probs3), strict=True):
+            col.append(x)
+    weight2, prob2, weight3, prob3 = (probability(np.concatenate(x)) if x else np.empty(0) for x in cols)
+    p = alone.copy()
+    p[grams.at + 1] = prob2[grams.gram] + weight2[grams.gram] * p[grams.at + 1]
+    at, gram = grams.at[grams.third], grams.gram[grams.third]
+    p[at + 2] = prob3[gram] + weight3[gram] * p[at + 2]
+    add = lambda x: np.add.reduceat(x, starts)
+    return np.diff(np.concatenate([[0], ends])), add((ids >= 0).astype(np.int64)), add(np.log10(alone)), add(np.log10(p))
+
+
+def score(blocks: Blocks, trie: Trie) -> DataFrame:
+    """doc_id, train, n_tokens, n_known, base_score, score of each row."""
+    spark, folder = blocks.table.sparkSession, blocks.folder
+    shared = spark.sparkContext.broadcast(Trie(trie.words, trie.cuts))
+    kinds = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, rows in _by_key(batches, 0):
+            held = load_arrays(f"{folder}/block-{name}")
+            found = _scores(held, [blob for _, part, blob in rows if part >= 0], shared.value)
+            ids = pa.array(held["doc_id"], mask=np.array(held["null"]))
+            cols = [pa.array(x.astype(k)) for x, k in zip(found, (np.int64, np.int64, np.float64, np.float64), strict=True)]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(np.array(held["train"])), *cols], ["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    # A block of texts without pairs has no answers, and is there all the same.
+    every = blocks.table.select("block", F.lit(-1).alias("part"), F.lit(b"").alias("found"))
+    answers = every if not trie.parts else _answers(blocks, trie).unionByName(every)
+    dealt = answers.repartition(max(1, -(-blocks.tokens // BLOCK_TOKENS)), "block").sortWithinPartitions("block", "part")
+    return dealt.mapInArrow(run, kinds)
 
 
-def op6(spark: SparkSession, docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    trie = train_trie(docs.where(in_training(F.col("doc_id"))), min_count=min_count)
-    held = (~in_training(F.col("doc_id"))).alias("held_out")
-    return score(docs, trie).select("doc_id", held, "n_tokens", "n_known", F.lit(trie.train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
+def op6(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    folder = scratch(spark, "ngram-trie")
+    make_path(spark, folder)
+    train = in_training(F.col("doc_id"))
+    words = count_words(docs, train, folder)
+    release(spark)
+    blocks = encode(docs, train, words, folder)
+    trie = train_trie(blocks, words)
+    release(spark)
+    return score(blocks, trie).select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score")

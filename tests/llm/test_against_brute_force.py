@@ -102,6 +102,56 @@ def test_language_model(spark, frame, corpus):
         assert a[5] == pytest.approx(b[5], abs=1e-6) and a[6] == pytest.approx(b[6], abs=2e-4 * b[2])
 
 
+def test_language_model_in_many_parts(spark, frame, corpus, monkeypatch):
+    """Contexts, pairs and single texts that go on over the ends of parts and blocks."""
+    hot = [(1000 + i, "the same " * 30 + f"end{i % 7} x{i}") for i in range(40)]
+    docs = corpus + hot + [hot[0]]
+    monkeypatch.setattr(ngram_lm, "PART_TOKENS", 120)
+    monkeypatch.setattr(ngram_lm, "BLOCK_TOKENS", 700)
+    monkeypatch.setattr(ngram_lm, "SHARD_WORDS", 50)
+    got = sorted(map(tuple, ngram_lm.op6(spark, frame.unionByName(spark.createDataFrame([*hot, hot[0]], frame.schema))).collect()))
+    for a, b in zip(got, sorted(brute.lm(docs)), strict=True):
+        assert a[:5] == b[:5]
+        assert a[5] == pytest.approx(b[5], abs=1e-6) and a[6] == pytest.approx(b[6], abs=2e-4 * b[2])
+
+
+def test_contexts_over_the_ends_of_parts():
+    """A word whose pairs lie in three parts, and a pair whose trigrams do."""
+    import numpy as np
+
+    a, b, c = (np.array(x) for x in zip(*[(1, 5, k) for k in range(30)] + [(1, 6, k) for k in range(4)] + [(1, 7 + k, 0) for k in range(9)] + [(2, 1, 1)], strict=True))
+    n = np.arange(1, len(a) + 1)
+    blob = lambda lo, hi: ngram_lm.pack([*np.unique(a[lo:hi], return_counts=False)[None], *_pairs(a[lo:hi], b[lo:hi]), c[lo:hi], n[lo:hi]])
+
+    def _pairs(x, y):
+        p, q, inverse = ngram_lm._unique_pairs(x, y)
+        return [np.unique(p, return_counts=True)[1], q, np.bincount(inverse)]
+
+    marks = [0, 7, 19, 32, len(a)]
+    cut = [ngram_lm._merge([blob(lo, hi)], 100) for lo, hi in zip(marks, marks[1:], strict=False)]
+    parts = [ngram_lm.Part(k, "", "") for k in range(4)]
+    ngram_lm._totals(parts, [ngram_lm._ends(m) for m in cut])
+    total, distinct = int(n[:-1].sum()), 2 + 9
+    assert {p.words[1] for p in parts} == {(total, distinct)}
+    assert {p.pairs[1, 5] for p in parts[:3]} == {(int(n[:30].sum()), 30)}
+    for m, p in zip(cut, parts, strict=True):
+        shard = ngram_lm.TrieShard(ngram_lm.shard_arrays(m, p))
+        got = shard.answer([m[0], m[1], m[2], m[4], m[5]])
+        assert ngram_lm.probability(got[0])[0] == pytest.approx(0.75 * distinct / total, rel=3e-4)
+        if (1, 5) in p.pairs:
+            assert ngram_lm.probability(got[1])[0] == pytest.approx((n[:30].sum() - 0.75) / total, rel=3e-4)
+            assert ngram_lm.probability(got[2])[0] == pytest.approx(0.75 * 30 / n[:30].sum(), rel=3e-4)
+            assert ngram_lm.probability(got[3])[0] == pytest.approx((m[6][0] - 0.75) / n[:30].sum(), rel=3e-4)
+        assert (shard.find("2", np.array([0]), np.array([99])) == -1).all()
+
+
+def test_held_out_score_of_all_n_grams(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = ngram_lm.op6(spark, docs).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert held["sum(base_score)"] == pytest.approx(-234_375, abs=5)
+    assert held["sum(score)"] >= -189_000
+
+
 def test_held_out_texts_are_likelier_than_by_words_alone(spark, frame):
     held = ngram_lm.op6(spark, frame).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
     assert held["sum(score)"] > held["sum(base_score)"]

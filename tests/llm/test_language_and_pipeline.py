@@ -92,7 +92,7 @@ def test_stages_keep_columns_of_any_name(spark):
 
     de, en = "der die das und ist nicht " * 20, "the and that with this from " * 20
     rows = [(i, " ".join(f"{w} {i}x{j}" for j, w in enumerate(x.split())), lang, "s") for i, (x, lang) in enumerate([(de, "de"), (en, "en")] * 8)]
-    rows += [(None, en + "x", "en", "s"), (None, None, None, None), (0, rows[0][1], "de", "s"), (99, en * 10_000, "en", "s")]
+    rows += [(None, de + "x", "de", "s"), (None, None, None, None), (0, rows[0][1], "de", "s"), (99, en * 10_000, "en", "s")]
     schema = "doc_id long, text string, lang string, source string"
     odd = spark.createDataFrame(rows, schema).withColumn("n_chars", F.length("text").cast("int"))
     for k, name in enumerate(("my col", "a.b", "__place", "__row", "__id", "key", "id", "spans", "`q`")):
