@@ -42,10 +42,15 @@ def remote_exec_points(items: DataFrame) -> DataFrame:
     return _labelled(seen.select(F.lit(M.EXEC_COUNT).alias("metric"), "instance", F.lit(M.ROW_STORE).alias("instance_type"), "sql_digest", "plan_digest", "tag_label", "ts", F.col("value").cast("double")))
 
 
-def store_record_points(records: DataFrame) -> DataFrame:
-    """Points of row-store records (instance, record with a decoded tag); tags that are null or have no sql_digest drop the record."""
+def tagged(records: DataFrame) -> DataFrame:
+    """records (record with a decoded tag) with the tag's digests and label; tags that are null or have no sql_digest drop the record."""
     kept = records.where("record.tag.sql_digest IS NOT NULL")
-    items = kept.select("instance", F.lit(M.ROW_STORE).alias("instance_type"), digest_text(F.col("record.tag.sql_digest")).alias("sql_digest"), digest_text(F.col("record.tag.plan_digest")).alias("plan_digest"), tag_label(F.col("record.tag.label")).alias("tag_label"), F.explode("record.items").alias("i"))
+    return kept.withColumns({"sql_digest": digest_text(F.col("record.tag.sql_digest")), "plan_digest": digest_text(F.col("record.tag.plan_digest")), "tag_label": tag_label(F.col("record.tag.label"))})
+
+
+def store_record_points(records: DataFrame) -> DataFrame:
+    """Points of row-store records (instance, record with a decoded tag)."""
+    items = tagged(records).select("instance", F.lit(M.ROW_STORE).alias("instance_type"), "sql_digest", "plan_digest", "tag_label", F.explode("record.items").alias("i"))
     return _labelled(unpivot_counters(items.select(*M.POINT_LABELS, "i.*").withColumn("ts", seconds_to_timestamp(F.col("timestamp_sec"))), M.STORE_COUNTERS, [*M.POINT_LABELS, "ts"]))
 
 

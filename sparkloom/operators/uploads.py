@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +37,20 @@ def content_differs(local: DataFrame, remote: DataFrame) -> DataFrame:
 def accepted_requests(requests: DataFrame, key: list[str], at: str, delay: int) -> DataFrame:
     """Requests that start an upload: the first of a key, and after each the first that comes delay or more later; the rest wait with it.
 
-    A key's times (numbers) are folded in order; a key is one file's requests, so the list is bounded by its rescans.
+    Times are numbers. A key's requests are streamed in order and only the last start is held, however many there are.
     """
-    times = requests.groupBy(*key).agg(F.array_sort(F.collect_list(at)).alias("t"))
-    start = F.array().cast(f"array<{requests.schema[at].dataType.simpleString()}>")
-    fold = F.aggregate("t", start, lambda acc, x: F.when((F.size(acc) == 0) | (x >= F.element_at(acc, -1) + delay), F.concat(acc, F.array(x))).otherwise(acc))
-    return times.select(*key, F.explode(fold).alias(at))
+    rows = requests.select(*key, at)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, last = None, None
+        for batch in batches:
+            keys = list(zip(*(batch.column(i).to_pylist() for i in range(len(key))), strict=True))
+            starts = []
+            for k, t in zip(keys, batch.column(len(key)).to_pylist(), strict=True):
+                new = k != current or t >= last + delay
+                starts.append(new)
+                if new:
+                    current, last = k, t
+            yield batch.filter(pa.array(starts, pa.bool_()))
+
+    return rows.where(F.col(at).isNotNull()).repartition(*key).sortWithinPartitions(*key, at).mapInArrow(run, rows.schema)

@@ -107,7 +107,8 @@ def kv_exec_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = read(spark, sf_dir, "lineitem").select("l_orderkey", F.concat(F.lit("store-"), F.col("l_suppkey").cast("string"), F.lit(":20180")).alias("a"), (F.col("l_quantity").cast("long") % 5).alias("n"))
     best = line.groupBy("l_orderkey", "a").agg(F.max("n").alias("n"))
     items = best.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct("a", "n"))).alias("stmt_kv_exec_count"))
-    return items.select(F.col("l_orderkey").alias("record_id"), F.explode("stmt_kv_exec_count").alias("instance", "value")).where("value > 0")
+    records = items.select(F.col("l_orderkey").cast("string").alias("sql_digest"), F.lit("").alias("plan_digest"), F.lit("").alias("tag_label"), F.timestamp_seconds(F.lit(NOW)).alias("ts"), "stmt_kv_exec_count")
+    return points.remote_exec_points(records).select(F.col("sql_digest").cast("long").alias("record_id"), "instance", F.col("value").cast("long").alias("value"))
 
 
 @query(f"""
@@ -138,8 +139,8 @@ def tag_label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def empty_digest_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags without a sql_digest drop the record, those without a plan_digest have an empty one."""
     k = F.col("stmt_duration_count")
-    raw = item_view(spark, sf_dir).select("event_id", F.when(k % 5 != 0, F.unhex("sql_digest")).alias("s"), F.when(k % 3 != 0, F.unhex("plan_digest")).alias("p"))
-    return raw.where("s IS NOT NULL").select("event_id", digest_text(F.col("s")).alias("sql_digest"), digest_text(F.col("p")).alias("plan_digest"))
+    tag = F.struct(F.when(k % 5 != 0, F.unhex("sql_digest")).alias("sql_digest"), F.when(k % 3 != 0, F.unhex("plan_digest")).alias("plan_digest"), F.lit(1).alias("label"))
+    return points.tagged(item_view(spark, sf_dir).select("event_id", F.struct(tag.alias("tag")).alias("record"))).select("event_id", "sql_digest", "plan_digest")
 
 
 @query(f"WITH {ITEM_SQL} SELECT DISTINCT '{M.INSTANCE}' AS metric, instance, '{M.SQL_LAYER}' AS instance_type, CAST({NOW} AS BIGINT) AS timestamp_sec, CAST(1 AS DOUBLE) AS value FROM item")
@@ -253,7 +254,7 @@ def stores_live(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT 's' || CAST(s_suppkey AS VARCHAR) || ':20160' AS address FROM supplier WHERE s_suppkey % 3 <> 2")
 def store_up_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stores(spark, sf_dir).where(F.lower("state_name") == "up").select("address")
+    return topology.live_stores(_stores(spark, sf_dir)).select(F.concat("host", F.lit(":"), F.col("primary_port").cast("string")).alias("address"))
 
 
 @query("SELECT CASE WHEN s_suppkey % 4 = 0 THEN 'tiflash' ELSE 'tikv' END AS instance_type, CAST(count(*) AS BIGINT) AS n FROM supplier GROUP BY ALL")
@@ -350,7 +351,7 @@ def endpoint_partition_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TOP_SQL = """
-, p AS ({points}), s AS (SELECT instance, instance_type, sql_digest, plan_digest, tag_label, metric, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
+, p AS ({points}), s AS (SELECT instance, instance_type, sql_digest, plan_digest, tag_label, metric, sum(CAST(value AS DOUBLE)) AS total
   FROM p WHERE metric = '{metric}' AND timestamp_sec > (SELECT max(timestamp_sec) FROM item) - {window} AND timestamp_sec <= (SELECT max(timestamp_sec) FROM item) GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY metric, instance, instance_type ORDER BY total DESC, sql_digest, plan_digest, tag_label) AS rank FROM s)
 """
@@ -359,8 +360,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY metric, instance, instance_type
 def _top(spark: SparkSession, sf_dir: str, metric: str, k: int = 5) -> DataFrame:
     """Top k of each instance over the last day of the data (300 s in production; the data has a point in some minutes)."""
     items = item_view(spark, sf_dir)
-    end = items.agg(F.max("timestamp_sec")).first()[0]
-    at = topk.trailing(sql_layer_points(spark, sf_dir).where(F.col("metric") == metric), F.lit(end), WINDOW_SECONDS, "timestamp_sec")
+    end = items.agg(F.max("timestamp_sec")).scalar()  # part of the plan: nothing runs while it is made
+    at = topk.trailing(sql_layer_points(spark, sf_dir).where(F.col("metric") == metric), end, WINDOW_SECONDS, "timestamp_sec")
     return topk.top_k(topk.sum_over_time(at), k)
 
 

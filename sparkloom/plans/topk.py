@@ -17,8 +17,8 @@ def trailing(points: DataFrame, at: Column, seconds: int, ts: str = "ts") -> Dat
 
 
 def sum_over_time(points: DataFrame) -> DataFrame:
-    """Sum of the values of each series, exact to the hundredth, so that it doesn't depend on the order."""
-    return points.groupBy("metric", *POINT_LABELS).agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"))
+    """Sum of the values of each series, in doubles; counters, which are whole numbers, add up exactly in any order."""
+    return points.groupBy("metric", *POINT_LABELS).agg(F.sum("value").alias("total"))
 
 
 def top_k(totals: DataFrame, k: int) -> DataFrame:

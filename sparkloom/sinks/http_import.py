@@ -3,29 +3,68 @@
 from __future__ import annotations
 
 import gzip
+import ssl
 import time
+import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from sparkloom.config import ImportSink
+from sparkloom.config import ConfigError, ImportSink, Tls
 from sparkloom.operators.encode import encode
 from sparkloom.registry import sink
+from sparkloom.streaming.retry import next_delay
 
 
 def body(lines: list[str]) -> bytes:
     return gzip.compress("".join(f"{line}\n" for line in lines).encode())
 
 
-def post(endpoint: str, lines: list[str], timeout: float = 60.0) -> int:
-    """Status of one request; a bad endpoint is an error of the request, not of the query's start."""
+@dataclass(frozen=True)
+class Request:
+    """How requests are made: settings of a sink's request block, and its TLS files."""
+
+    timeout_secs: float = 60.0
+    retry_attempts: int = 5
+    retry_initial_backoff_secs: float = 1.0
+    tls: Tls | None = None
+
+    @classmethod
+    def of(cls, settings: ImportSink) -> Request:
+        unknown = set(settings.request) - {"timeout_secs", "retry_attempts", "retry_initial_backoff_secs"}
+        if unknown:
+            raise ConfigError(f"unknown keys of request: {', '.join(sorted(unknown))}")
+        return cls(tls=settings.tls, **settings.request)
+
+    def context(self) -> ssl.SSLContext | None:
+        if self.tls is None or not self.tls.enabled:
+            return None
+        made = ssl.create_default_context(cafile=self.tls.ca_file)
+        made.load_cert_chain(self.tls.crt_file, self.tls.key_file)
+        return made
+
+
+def post(endpoint: str, lines: list[str], how: Request = Request()) -> int:
+    """Status of a request, tried again after connections that fail and statuses 429 and 5xx; a bad endpoint is an error of the request, not of the query's start."""
     if urllib.parse.urlsplit(endpoint).scheme not in ("http", "https"):
         raise ValueError(f"not an endpoint: {endpoint}")
-    request = urllib.request.Request(endpoint, body(lines), {"Content-Encoding": "gzip"}, method="POST")
-    with urllib.request.urlopen(request, timeout=timeout) as answer:
-        return answer.status
+    raw, delay = body(lines), how.retry_initial_backoff_secs
+    for left in range(how.retry_attempts, -1, -1):
+        request = urllib.request.Request(endpoint, raw, {"Content-Encoding": "gzip"}, method="POST")
+        try:
+            with urllib.request.urlopen(request, timeout=how.timeout_secs, context=how.context()) as answer:
+                return answer.status
+        except urllib.error.HTTPError as e:
+            if not left or e.code != 429 and e.code < 500:
+                raise
+        except OSError:
+            if not left:
+                raise
+        time.sleep(delay)
+        delay = next_delay(delay)
 
 
 def healthy(url: str | None) -> bool:
@@ -39,28 +78,29 @@ def healthy(url: str | None) -> bool:
         return False
 
 
-def send(rows: Iterator, most: int, seconds: float) -> None:
-    """Posts rows (endpoint, line): a batch goes when it has most lines, when it is that old, and at the end."""
+def send(rows: Iterator, most: int, seconds: float, how: Request = Request()) -> None:
+    """Posts rows (endpoint, line): a batch goes when it has most lines, when any row comes and it is that old, and at the end."""
     held: dict[str, tuple[float, list[str]]] = {}
     for row in rows:
-        since, lines = held.setdefault(row.endpoint, (time.monotonic(), []))
+        _, lines = held.setdefault(row.endpoint, (time.monotonic(), []))
         lines.append(row.line)
-        if len(lines) >= most or time.monotonic() - since >= seconds:
-            post(row.endpoint, lines)
-            del held[row.endpoint]
+        if len(lines) >= most:
+            post(row.endpoint, held.pop(row.endpoint)[1], how)
+        while held and time.monotonic() - (oldest := next(iter(held.items())))[1][0] >= seconds:  # in order of their first lines
+            post(oldest[0], held.pop(oldest[0])[1], how)
     for endpoint, (_, lines) in held.items():
-        post(endpoint, lines)
+        post(endpoint, lines, how)
 
 
 @sink("vm_import")
 class HttpImport:
     def __init__(self, settings: ImportSink):
-        self.settings = settings
+        self.settings, self.how = settings, Request.of(settings)
 
     def write(self, series: DataFrame) -> None:
         """Posts a batch DataFrame. A task sends the endpoints it holds, so a hot endpoint is sent by many tasks."""
-        most, seconds = self.settings.batch_events, self.settings.batch_seconds
-        encode(series, self.settings.endpoint).foreachPartition(lambda rows: send(rows, most, seconds))
+        most, seconds, how = self.settings.batch_events, self.settings.batch_seconds, self.how
+        encode(series, self.settings.endpoint).foreachPartition(lambda rows: send(rows, most, seconds, how))
 
     def start(self, series: DataFrame, checkpoint: str):  # noqa: ANN201
         """Starts a streaming query that posts each micro-batch; refuses an unhealthy service."""

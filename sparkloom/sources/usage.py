@@ -131,20 +131,36 @@ class _Batch(DataSourceReader):
 
 
 class _Stream(DataSourceStreamReader):
-    """Offsets are frames by instance. A component that left keeps its offset and is read on when it returns."""
+    """Offsets are {instance: {kind, frames}}. A component that has left keeps its offset, and is read on when it returns.
+
+    What a batch reads is in its offsets alone, so a component that leaves while the batch is planned is read all the
+    same. If a stream is started again while a component is away, its offset is taken from the batch that is planned first.
+    """
 
     def __init__(self, transport: Transport):
         self.transport = transport
+        self.known: dict[str, dict] = {}
+        self.away: dict[str, dict] = {}
 
     def initialOffset(self) -> dict:
         return {}
 
     def latestOffset(self) -> dict:
-        return {a: self.transport.end(a) for a, _ in self.transport.instances()}
+        for a, kind in self.transport.instances():
+            self.known[a] = {"kind": kind, "frames": max(self.transport.end(a), self.known.get(a, {}).get("frames", 0))}
+        return {a: dict(x) for a, x in self.known.items()}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        kinds = dict(self.transport.instances())
-        return [Part(a, kinds[a], start.get(a, 0), n) for a, n in end.items() if a in kinds and n > start.get(a, 0)]
+        parts = []
+        for a, x in end.items():
+            before = start.get(a) or self.away.pop(a, None) or {"frames": 0}
+            if x["frames"] > before["frames"]:
+                parts.append(Part(a, x["kind"], before["frames"], x["frames"]))
+        for a, x in start.items():
+            if a not in end:  # from before a restart
+                self.away[a] = dict(x)
+                self.known.setdefault(a, dict(x))
+        return parts
 
     def read(self, partition: Part) -> Iterator[tuple]:
         yield from _emit(self.transport, partition)
