@@ -6,18 +6,19 @@ BLOCK_TOKENS tokens in the shared folder; all that follows reads these.
 
 N-grams. Each block's distinct trigrams (with the bigrams they begin with, and how often each comes in training texts)
 are sorted and cut by ranges of (first, second, third word), and sent, packed, to the parts that own the ranges. So each n-gram of
-a block is shuffled once, as two to seven bytes and not as a row, and a context that a third of all texts share is dealt
+a block is shuffled as some six bytes and not as a row, and a context that a third of all texts share is dealt
 to several parts like any other range. All n-grams are kept, also those that occur once.
 
 Trie. A part's merged n-grams are one shard of the trie: a file that is memory-mapped, with the second words of all
 first words and the third words of all bigrams, each as one monotone sequence (each context's words on top of the last
 value of the context before) with the pointers to where a context's children start, all Elias-Fano coded; 16-bit
 quantised log10 probabilities and weights. A look-up takes the context's pointers and the value before them, and
-searches the successor of the word relative to it. Contexts at a shard's ends may go on in the next one; their totals,
-four for each shard, are added up on the driver before probabilities are written.
+searches the successor of the word relative to it. A context in which a range is cut lies in two shards or more; the
+totals of these, two words and two bigrams for each shard, are added up on the driver before probabilities are written.
 
-Scores. The blocks' n-grams are at their parts already. Each part looks them up in its shard, and sends back the
-probabilities, in the order of the block's n-grams, and the block's task puts them together. So a task opens one shard, and
+Scores. The blocks' n-grams are dealt to the parts once more (which takes less disk than keeping them there). Each part
+looks them up in its shard, and sends back the probabilities, in the order of the block's n-grams, and the block's task
+puts them together. So a task opens one shard, and
 never the trie as a whole, however large it grows. Level 1 alone is read by all tasks.
 
 Smoothing. Interpolated absolute discounting: p(w|c) = (n(cw) - D) / n(c) + g(c) p(w|c'), g(c) = D times the distinct
@@ -52,7 +53,7 @@ from sparkloom.llm.elias_fano import EliasFano
 DISCOUNT = 0.75
 #: Words of a shard of level 1, tokens of a block and of a part, samples of each part from which the ranges are cut.
 SHARD_WORDS, BLOCK_TOKENS, PART_TOKENS, SAMPLES = 1_000_000, 1_500_000, 2_000_000, 64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES, LOOK_UPS = 1 << 20, 200_000
 FOLDS, HELD_FOLD = 7, 2
 END = xxhash.xxh3_64_intdigest(b"")
 SIGN = np.uint64(1 << 63)
@@ -153,14 +154,13 @@ class Shard:
 
 @dataclass
 class Part:
-    """A shard of levels 2 and 3: its files (queries: the blocks' n-grams), and the totals of the contexts at its ends.
+    """A shard of levels 2 and 3: its files, and the totals of the contexts in which its range is cut.
 
-    words: first word of the trigrams -> (count, distinct words after it); pairs: the same of the first two.
+    words: first word of a cut -> (count, distinct words after it) in all parts; pairs: the same of the first two.
     """
 
     number: int
     counts: str
-    queries: str
     file: str = ""
     words: dict[int, tuple[int, int]] = field(default_factory=dict)
     pairs: dict[tuple[int, int], tuple[int, int]] = field(default_factory=dict)
@@ -335,9 +335,10 @@ class Grams:
 
 @dataclass
 class Blocks:
-    """Texts as ids: a table of (block, docs, tokens), a file for each block, and all blocks' tokens."""
+    """Texts as ids: a table of (number, name) of the blocks, a file for each, how many there are, and their tokens."""
 
     table: DataFrame
+    count: int
     folder: str
     tokens: int
     cuts: list[tuple[int, int, int]]
@@ -351,7 +352,6 @@ def encode(docs: DataFrame, train: Column, words: Words, folder: str) -> Blocks:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        kind = np.int32 if known.count < 1 << 31 else np.int64
         for rows, tokens in _by_tokens(batches, BLOCK_TOKENS):
             ends = np.cumsum([len(x) for x in tokens])
             distinct, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
@@ -359,7 +359,8 @@ def encode(docs: DataFrame, train: Column, words: Words, folder: str) -> Blocks:
             name = uuid.uuid4().hex
             train = np.array([bool(x[1]) for x in rows])
             doc_ids, null = np.array([x[0] or 0 for x in rows], np.int64), np.array([x[0] is None for x in rows])
-            save_arrays(f"{folder}/block-{name}", {"ids": ids.astype(kind), "ends": ends, "doc_id": doc_ids, "null": null, "train": train})
+            packed = pack([ids + 1, np.diff(ends, prepend=0)])  # 0 stands for unseen words
+            save_arrays(f"{folder}/block-{name}", {"texts": np.frombuffer(packed, np.uint8), "doc_id": doc_ids, "null": null, "train": train})
             some = np.where(ids < 0, known.count, ids)[::step]
             behind = [np.concatenate([np.where(ids < 0, known.count, ids)[k:], np.full(k, known.count + 1)])[::step] for k in (1, 2)]
             sample = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (some, *behind)]
@@ -375,36 +376,44 @@ def encode(docs: DataFrame, train: Column, words: Words, folder: str) -> Blocks:
         order = np.lexsort((c, b, a))
         picked = order[np.arange(1, n) * len(order) // n]
         cuts = sorted(set(zip(a[picked].tolist(), b[picked].tolist(), c[picked].tolist(), strict=True)))
-    return Blocks(table.select("block", "docs", "tokens"), folder, total, cuts)
+    names = [(k, r.block) for k, r in enumerate(table.select("block").collect())]
+    _drop(table)
+    return Blocks(spark.createDataFrame(names, "number int, name string"), len(names), folder, total, cuts)
 
 
-def _spread(table: DataFrame, tokens: int) -> DataFrame:
-    """A block or two for each task."""
-    return table.repartition(max(1, -(-tokens // BLOCK_TOKENS)), "block")
+def _texts(held: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the tokens of a block's file, and where its texts end."""
+    ids, sizes = unpack(bytes(held["texts"]), 2)
+    return ids - 1, np.cumsum(sizes)
 
 
 def _dealt(blocks: Blocks, count: int) -> DataFrame:
-    """part, block, grams: each block's distinct trigrams of each part, packed: first words, pairs of each, second words, trigrams of each, third words, counts in training."""
+    """part, block (its number), grams: each block's distinct trigrams of each part, packed: first words, pairs of each, second words, trigrams of each, third words, counts in training."""
     folder, shared = blocks.folder, blocks.table.sparkSession.sparkContext.broadcast(blocks.cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for number, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 held = load_arrays(f"{folder}/block-{name}")
-                ids, ends = held["ids"].astype(np.int64), held["ends"]
+                ids, ends = _texts(held)
                 grams = Grams(ids, ends, count)
                 train = np.repeat(held["train"], np.diff(np.concatenate([[0], ends])))[grams.at]
                 n = np.bincount(grams.gram[train], minlength=len(grams.c))
                 for k, low, high, words, pairs, children in grams.parts(shared.value):
                     seconds = grams.b[grams.of[low] : grams.of[high - 1] + 1]
                     blob = pack([words, pairs, seconds, children, grams.c[low:high], n[low:high]])
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([name]), pa.array([blob])], ["part", "block", "grams"])
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([number], pa.int32()), pa.array([blob])], ["part", "block", "grams"])
 
-    return _spread(blocks.table, blocks.tokens).mapInArrow(run, "part int, block string, grams binary")
+    return blocks.table.repartitionById(max(1, blocks.count), F.col("number")).mapInArrow(run, "part int, block int, grams binary")
+
+
+def _at_parts(blocks: Blocks, count: int) -> DataFrame:
+    """_dealt(), one part in each partition."""
+    return _dealt(blocks, count).repartitionById(len(blocks.cuts) + 1, F.col("part"))
 
 
 def _by_key(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[object, list[tuple]]]:
-    """Rows of a sorted stream, by the value of a column."""
+    """Rows of a stream in which equal values of a column are together, by these values."""
     key, rows = None, []
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -419,14 +428,21 @@ def _by_key(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[ob
 
 def _merge(blobs: list[bytes], count: int) -> list[np.ndarray]:
     """The training n-grams of some blocks added up: first words, pairs of each, second words, counts, trigrams of each pair, third words, counts."""
+    kind = np.int32 if count < (1 << 31) - 2 else np.int64
     cols: list[list[np.ndarray]] = [[], [], [], []]
     for blob in blobs:
         words, pairs, seconds, children, thirds, n = unpack(blob, 6)
         some = n > 0
         for held, x in zip(cols, (np.repeat(np.repeat(words, pairs), children), np.repeat(seconds, children), thirds, n), strict=True):
-            held.append(x[some])
-    a, b, c, n = (np.concatenate(x) if x else np.empty(0, np.int64) for x in cols)
-    a, b, pair = _unique_pairs(a, b)
+            held.append(x[some].astype(kind))
+    joined = []
+    while cols:  # one column after another, so that the parts of each can go
+        held = cols.pop(0)
+        joined.append(np.concatenate(held) if held else np.empty(0, kind))
+        held.clear()
+    a, b, pair = _unique_pairs(joined[0].astype(np.int64), joined[1].astype(np.int64))
+    c, n = joined[2].astype(np.int64), joined[3]
+    joined.clear()
     n2 = np.bincount(pair, n, len(a)).astype(np.int64)
     whole = c < count
     of, c, gram = _unique_pairs(pair[whole], c[whole])
@@ -435,36 +451,43 @@ def _merge(blobs: list[bytes], count: int) -> list[np.ndarray]:
     return [words, pairs, b, n2, np.bincount(of, minlength=len(a)), c, n3]
 
 
-def _ends(merged: list[np.ndarray]) -> dict:
-    """Counts and distinct children of the first and last word and pair of a part."""
+def _cut_contexts(merged: list[np.ndarray], cuts: list[tuple[int, int, int]]) -> dict:
+    """What a part has of the contexts in which its range is cut: [word, count, distinct pairs] and [word, word, count, distinct trigrams]."""
     words, pairs, seconds, n2, children, _, _ = merged
-    start = np.concatenate([[0], np.cumsum(pairs)])
     of = np.repeat(words, pairs)
-    tell = lambda k: [int(words[k]), int(n2[start[k] : start[k + 1]].sum()), int(pairs[k])]
-    pair = lambda p: [int(of[p]), int(seconds[p]), int(n2[p]), int(children[p])]
-    return {"words": [tell(k) for k in sorted({0, len(words) - 1})], "pairs": [pair(p) for p in sorted({0, len(seconds) - 1})]}
+    told: dict[str, list] = {"words": [], "pairs": []}
+    for a in sorted({cut[0] for cut in cuts}):
+        told["words"].append([a, int(n2[of == a].sum()), int((of == a).sum())])
+    for a, b in sorted({cut[:2] for cut in cuts}):
+        at = (of == a) & (seconds == b)
+        told["pairs"].append([a, b, int(n2[at].sum()), int(children[at].sum())])
+    return told
 
 
-def _totals(parts: list[Part], ends: list[dict | None]) -> None:
-    """Gives each part the totals of the contexts at its ends, over all parts that hold some of them."""
+def _totals(parts: list[Part], told: list[dict]) -> None:
+    """Gives each part the totals of the contexts in which its range is cut, over all parts that hold some of them."""
     words: dict[int, list[int]] = {}
     pairs: dict[tuple[int, int], list[int]] = {}
-    for end in filter(None, ends):
-        fresh = 0
-        for a, b, n, children in end["pairs"]:
-            seen = (a, b) in pairs
-            fresh += seen  # a pair that an earlier part has begun is one child of its word and not two
-            held = pairs.setdefault((a, b), [0, 0])
-            held[0] += n
-            held[1] += children
-        for k, (a, n, children) in enumerate(end["words"]):
+    for some in told:
+        for a, n, distinct in some["words"]:
             held = words.setdefault(a, [0, 0])
             held[0] += n
-            held[1] += children - (fresh if k == 0 else 0)
-    for part, end in zip(parts, ends, strict=True):
-        if end:
-            part.words = {a: tuple(words[a]) for a, _, _ in end["words"]}
-            part.pairs = {(a, b): tuple(pairs[a, b]) for a, b, _, _ in end["pairs"]}
+            held[1] += distinct
+        for a, b, n, distinct in some["pairs"]:
+            held = pairs.setdefault((a, b), [0, 0])
+            if held[0] and n:  # a pair that several parts have is one child of its word
+                words[a][1] -= 1
+            held[0] += n
+            held[1] += distinct
+    for part, some in zip(parts, told, strict=True):
+        part.words = {a: tuple(words[a]) for a, _, _ in some["words"]}
+        part.pairs = {(a, b): tuple(pairs[a, b]) for a, b, _, _ in some["pairs"]}
+
+
+def _log_weight(distinct: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Quantised log10 of what a context leaves to the shorter one; a context without children leaves all."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return quantised(np.where(distinct > 0, np.log10(DISCOUNT * distinct / n), 0.0))
 
 
 def _sequence(contexts: int, context: np.ndarray, word: np.ndarray, name: str) -> dict[str, np.ndarray]:
@@ -483,15 +506,14 @@ def shard_arrays(merged: list[np.ndarray], part: Part) -> dict[str, np.ndarray]:
     context, pair = np.repeat(words - first, pairs), np.repeat(np.arange(len(seconds)), children)
     n1, after = np.bincount(context, n2), np.bincount(context)
     for a, (n, distinct) in part.words.items():
-        n1[a - first], after[a - first] = n, distinct
+        if first <= a <= words[-1]:
+            n1[a - first], after[a - first] = n, distinct
     of = np.repeat(words, pairs)
     total, behind = n2.astype(np.float64), children.astype(np.float64)
     for (a, b), (n, distinct) in part.pairs.items():
         p = np.flatnonzero((of == a) & (seconds == b))
         total[p], behind[p] = n, distinct
-    with np.errstate(divide="ignore", invalid="ignore"):  # contexts without children have no weight: it is asked for by nobody
-        weights = [quantised(np.where(d > 0, np.log10(DISCOUNT * d / n), 0.0)) for d, n in ((after, n1), (behind, total))]
-    arrays = {"first": np.array([first, int(words[-1])], np.int64), "weights2": weights[0], "weights3": weights[1]}
+    arrays = {"first": np.array([first, int(words[-1])], np.int64), "weights2": _log_weight(after, n1), "weights3": _log_weight(behind, total)}
     arrays |= {"probs2": quantised(np.log10((total - DISCOUNT) / n1[context])), "probs3": quantised(np.log10((n3 - DISCOUNT) / total[pair]))}
     return arrays | _sequence(int(words[-1]) - first + 1, context, seconds, "2") | _sequence(len(seconds), pair, thirds, "3")
 
@@ -517,51 +539,60 @@ class TrieShard:
         out[some[good]] = i[good]
         return out
 
-    def answer(self, grams: list[np.ndarray]) -> list[np.ndarray]:
-        """Of n-grams as _dealt() packs them: weights of the first words, probabilities and weights of the pairs, probabilities of the trigrams."""
-        words, pairs, seconds, children, thirds = grams[:5]
-        inside = (words >= self.first) & (words <= self.last)
-        weights2 = np.zeros(len(words), np.uint16)
-        weights2[inside] = self.arrays["weights2"][words[inside] - self.first]
+
+def answer(part: Part, shard: TrieShard | None, grams: list[np.ndarray]) -> list[np.ndarray]:
+    """Of n-grams as _dealt() packs them: weights of the first words, probabilities and weights of the pairs, probabilities of the trigrams."""
+    words, pairs, seconds, children, thirds = grams[:5]
+    of = np.repeat(words, pairs)
+    weights2, weights3 = np.zeros(len(words), np.uint16), np.zeros(len(seconds), np.uint16)
+    probs2, probs3 = np.full(len(seconds), NONE, np.uint16), np.full(len(thirds), NONE, np.uint16)
+    if shard:
+        inside = (words >= shard.first) & (words <= shard.last)
+        weights2[inside] = shard.arrays["weights2"][words[inside] - shard.first]
         place = np.full(len(seconds), -1, np.int64)
         asked = np.flatnonzero(np.repeat(inside, pairs))
-        place[asked] = self.find("2", np.repeat(words, pairs)[asked] - self.first, seconds[asked])
+        place[asked] = shard.find("2", of[asked] - shard.first, seconds[asked])
         known = place >= 0
-        probs2, weights3 = np.full(len(seconds), NONE, np.uint16), np.zeros(len(seconds), np.uint16)
-        probs2[known], weights3[known] = self.arrays["probs2"][place[known]], self.arrays["weights3"][place[known]]
-        probs3 = np.full(len(thirds), NONE, np.uint16)
-        of = np.repeat(place, children)
-        asked = np.flatnonzero(of >= 0)
-        found = self.find("3", of[asked], thirds[asked])
+        probs2[known], weights3[known] = shard.arrays["probs2"][place[known]], shard.arrays["weights3"][place[known]]
+        context = np.repeat(place, children)
+        asked = np.flatnonzero(context >= 0)
+        found = shard.find("3", context[asked], thirds[asked])
         hit = found >= 0
-        probs3[asked[hit]] = self.arrays["probs3"][found[hit]]
-        return [weights2, probs2, weights3, probs3]
+        probs3[asked[hit]] = shard.arrays["probs3"][found[hit]]
+    # Of contexts in which the range is cut, this part may hold nothing but others do.
+    for a, (n, distinct) in part.words.items():
+        weights2[words == a] = _log_weight(np.array([distinct]), np.array([n]))
+    for (a, b), (n, distinct) in part.pairs.items():
+        if n:
+            at = np.flatnonzero((of == a) & (seconds == b))
+            probs2[at], weights3[at] = quantised(np.log10([(n - DISCOUNT) / part.words[a][0]])), _log_weight(np.array([distinct]), np.array([n]))
+    return [weights2, probs2, weights3, probs3]
 
 
 def train_trie(blocks: Blocks, words: Words) -> Trie:
-    """Levels 2 and 3 of the blocks' training texts; the blocks' n-grams stay at the parts, to be looked up."""
+    """Levels 2 and 3 of the blocks' training texts."""
     spark, folder, count = blocks.table.sparkSession, blocks.folder, words.count
     trie = Trie(words, blocks.cuts)
     if not blocks.tokens:
         return trie
 
+    cuts = spark.sparkContext.broadcast(blocks.cuts)
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, rows in _by_key(batches, 0):
             merged = _merge([blob for _, _, blob in rows], count)
             uri = f"{folder}/part-{uuid.uuid4().hex}"
-            sizes = np.cumsum([len(blob) for _, _, blob in rows])
-            save_arrays(f"{uri}-queries", {"ends": sizes, "blocks": np.frombuffer("".join(name for _, name, _ in rows).encode(), np.uint8), "grams": np.frombuffer(b"".join(blob for _, _, blob in rows), np.uint8)})
             some = len(merged[0]) > 0
             if some:
                 save_arrays(f"{uri}-counts", {"packed": np.frombuffer(pack(merged), np.uint8)})
-            yield pa.RecordBatch.from_pylist([{"part": k, "uri": uri, "ends": json.dumps(_ends(merged)) if some else None}])
+            told = _cut_contexts(merged, cuts.value[max(0, k - 1) : k + 1])
+            yield pa.RecordBatch.from_pylist([{"part": k, "uri": uri, "some": some, "told": json.dumps(told)}])
 
-    dealt = _dealt(blocks, count).repartition(len(blocks.cuts) + 1, "part").sortWithinPartitions("part")
-    made = written(dealt.mapInArrow(merge, "part long, uri string, ends string"), "parts")
+    made = written(_at_parts(blocks, count).mapInArrow(merge, "part long, uri string, some boolean, told string"), "parts")
     rows = made.orderBy("part").collect()
-    release(spark)
-    trie.parts = [Part(r.part, f"{r.uri}-counts" if r.ends else "", f"{r.uri}-queries") for r in rows]
-    _totals(trie.parts, [json.loads(r.ends) if r.ends else None for r in rows])
+    release(spark)  # the n-grams are in the parts' files: their shuffle can go
+    trie.parts = [Part(r.part, f"{r.uri}-counts" if r.some else "") for r in rows]
+    _totals(trie.parts, [json.loads(r.told) for r in rows])
     shared = spark.sparkContext.broadcast({p.number: p for p in trie.parts})
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -574,7 +605,7 @@ def train_trie(blocks: Blocks, words: Words) -> Trie:
 
     full = [(p.number,) for p in trie.parts if p.counts]
     if full:
-        files = spark.createDataFrame(full, "part int").repartition(len(full), "part").mapInArrow(finish, "part long, uri string").collect()
+        files = spark.createDataFrame(full, "part int").repartition(len(full)).mapInArrow(finish, "part long, uri string").collect()
         of = {r.part: r.uri for r in files}
         for p in trie.parts:
             p.file = of.get(p.number, "")
@@ -586,31 +617,39 @@ def train_trie(blocks: Blocks, words: Words) -> Trie:
 
 def _answers(blocks: Blocks, trie: Trie) -> DataFrame:
     """block, part, found: what each part has of each block's n-grams."""
-    spark = blocks.table.sparkSession
+    spark, count = blocks.table.sparkSession, trie.words.count
     shared = spark.sparkContext.broadcast({p.number: p for p in trie.parts})
 
+    def answered(number: int, names: list[int], asked: list[list[np.ndarray]], shard: TrieShard | None) -> pa.RecordBatch:
+        """Many blocks' n-grams are looked up together: single look-ups of few n-grams would cost more than what they find."""
+        whole = answer(shared.value[number], shard, [np.concatenate(x) for x in zip(*asked, strict=True)])
+        ends = [np.cumsum([len(grams[k]) for grams in asked])[:-1] for k in (0, 2, 2, 4)]
+        found = [pack(list(x)) for x in zip(*(np.split(x, e) for x, e in zip(whole, ends, strict=True)), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([number] * len(names), pa.int32()), pa.array(found)], ["block", "part", "found"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, shard, names, asked, n = None, None, [], [], 0
         for batch in batches:
-            for number in batch.column(0).to_pylist():
-                part = shared.value[number]
-                shard = TrieShard(load_arrays(part.file)) if part.file else None
-                asked = load_arrays(part.queries)
-                names, start = bytes(asked["blocks"]).decode(), 0
-                for k, end in enumerate(asked["ends"].tolist()):
-                    grams = unpack(bytes(asked["grams"][start:end]), 6)
-                    none = [np.zeros(len(grams[0]), np.uint16), np.full(len(grams[2]), NONE, np.uint16), np.zeros(len(grams[2]), np.uint16), np.full(len(grams[4]), NONE, np.uint16)]
-                    found = pack(shard.answer(grams) if shard else none)
-                    yield pa.RecordBatch.from_arrays([pa.array([names[32 * k : 32 * k + 32]]), pa.array([number], pa.int32()), pa.array([found])], ["block", "part", "found"])
-                    start = end
-
-    numbers = spark.createDataFrame([(p.number,) for p in trie.parts], "part int")
-    return numbers.repartition(max(1, len(trie.parts)), "part").mapInArrow(run, "block string, part int, found binary")
+            for part, block, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if names and (part != number or n > LOOK_UPS):
+                    yield answered(number, names, asked, shard)
+                    names, asked, n = [], [], 0
+                if part != number:
+                    number, file = part, shared.value[part].file
+                    shard = TrieShard(load_arrays(file)) if file else None
+                names.append(block)
+                asked.append(unpack(blob, 6)[:5])
+                n += len(asked[-1][4])
+        if names:
+            yield answered(number, names, asked, shard)
+
+    return _at_parts(blocks, count).mapInArrow(run, "block int, part int, found binary")
 
 
 def _scores(held: dict[str, np.ndarray], found: list[bytes], trie: Trie) -> tuple[np.ndarray, ...]:
     """For each text of a block: tokens, known tokens, base and model log10 probability. found: the parts' answers, in order."""
     words = trie.words
-    ids, ends = held["ids"].astype(np.int64), held["ends"]
+    ids, ends = _texts(held)
     starts = np.concatenate([[0], ends[:-1]])
     distinct, inverse = np.unique(ids, return_inverse=True)
     alone = ((words.counts(distinct) + 1) / (words.tokens + words.count + 1))[inverse]
@@ -636,17 +675,17 @@ def score(blocks: Blocks, trie: Trie) -> DataFrame:
     kinds = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, rows in _by_key(batches, 0):
-            held = load_arrays(f"{folder}/block-{name}")
-            found = _scores(held, [blob for _, part, blob in rows if part >= 0], shared.value)
+        for _, rows in _by_key(batches, 0):
+            held = load_arrays(f"{folder}/block-{rows[0][3]}")
+            found = _scores(held, [blob for _, part, blob, _ in rows if part >= 0], shared.value)
             ids = pa.array(held["doc_id"], mask=np.array(held["null"]))
             cols = [pa.array(x.astype(k)) for x, k in zip(found, (np.int64, np.int64, np.float64, np.float64), strict=True)]
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.array(held["train"])), *cols], ["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
 
-    # A block of texts without pairs has no answers, and is there all the same.
-    every = blocks.table.select("block", F.lit(-1).alias("part"), F.lit(b"").alias("found"))
-    answers = every if not trie.parts else _answers(blocks, trie).unionByName(every)
-    dealt = answers.repartition(max(1, -(-blocks.tokens // BLOCK_TOKENS)), "block").sortWithinPartitions("block", "part")
+    # A block of texts without pairs has no answers, and is there all the same: its name comes as part -1.
+    every = blocks.table.select(F.col("number").alias("block"), F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("found"), "name")
+    answers = every if not trie.parts else _answers(blocks, trie).withColumn("name", F.lit(None).cast("string")).unionByName(every)
+    dealt = answers.repartitionById(max(1, blocks.count), F.col("block")).sortWithinPartitions("block", "part")
     return dealt.mapInArrow(run, kinds)
 
 

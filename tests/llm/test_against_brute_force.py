@@ -128,20 +128,23 @@ def test_contexts_over_the_ends_of_parts():
         return [np.unique(p, return_counts=True)[1], q, np.bincount(inverse)]
 
     marks = [0, 7, 19, 32, len(a)]
-    cut = [ngram_lm._merge([blob(lo, hi)], 100) for lo, hi in zip(marks, marks[1:], strict=False)]
+    cuts = [(int(a[k]), int(b[k]), int(c[k])) for k in marks[1:-1]]
+    merged = [ngram_lm._merge([blob(lo, hi)], 100) for lo, hi in zip(marks, marks[1:], strict=False)]
     parts = [ngram_lm.Part(k, "", "") for k in range(4)]
-    ngram_lm._totals(parts, [ngram_lm._ends(m) for m in cut])
+    ngram_lm._totals(parts, [ngram_lm._cut_contexts(m, cuts[max(0, k - 1) : k + 1]) for k, m in enumerate(merged)])
     total, distinct = int(n[:-1].sum()), 2 + 9
     assert {p.words[1] for p in parts} == {(total, distinct)}
     assert {p.pairs[1, 5] for p in parts[:3]} == {(int(n[:30].sum()), 30)}
-    for m, p in zip(cut, parts, strict=True):
+    for k, (m, p) in enumerate(zip(merged, parts, strict=True)):
         shard = ngram_lm.TrieShard(ngram_lm.shard_arrays(m, p))
-        got = shard.answer([m[0], m[1], m[2], m[4], m[5]])
-        assert ngram_lm.probability(got[0])[0] == pytest.approx(0.75 * distinct / total, rel=3e-4)
-        if (1, 5) in p.pairs:
-            assert ngram_lm.probability(got[1])[0] == pytest.approx((n[:30].sum() - 0.75) / total, rel=3e-4)
-            assert ngram_lm.probability(got[2])[0] == pytest.approx(0.75 * 30 / n[:30].sum(), rel=3e-4)
-            assert ngram_lm.probability(got[3])[0] == pytest.approx((m[6][0] - 0.75) / n[:30].sum(), rel=3e-4)
+        # Each part is also asked for a pair and a trigram that it has nothing of.
+        for asked, held in (([m[0], m[1], m[2], m[4], m[5]], shard), ([np.array([1]), np.array([1]), np.array([5]), np.array([1]), np.array([99])], None if k else shard)):
+            got = [ngram_lm.probability(x) for x in ngram_lm.answer(p, held, asked)]
+            assert got[0][0] == pytest.approx(0.75 * distinct / total, rel=3e-4)
+            if (1, 5) in p.pairs and asked[2][0] == 5:
+                assert got[1][0] == pytest.approx((n[:30].sum() - 0.75) / total, rel=3e-4)
+                assert got[2][0] == pytest.approx(0.75 * 30 / n[:30].sum(), rel=3e-4)
+                assert got[3][0] == (0 if asked[4][0] == 99 else pytest.approx((m[6][0] - 0.75) / n[:30].sum(), rel=3e-4))
         assert (shard.find("2", np.array([0]), np.array([99])) == -1).all()
 
 
