@@ -16,7 +16,7 @@ confirmed on the full sets, and pairs that can't join two components are not mad
    most min(|x & p|, |y & p|) + min(x', y') shingles in common, p being the central document and x' what x shares
    with anyone but p: in a large group of copies, each edited in its own way, this rules out all pairs but those
    that share edits, and members that can reach no other are done with;
-3. what is left is tested against the most central documents of 256, 65536, ... parts of the bucket, until the buckets'
+3. what is left is tested against the most central documents of 16, 256, ... parts of the bucket, until the buckets'
    untested members lie in one component each.
 
 Nothing is left out but by these exact bounds, and the rounds end by themselves. A pivot with many members is sent to
@@ -45,7 +45,7 @@ SHINGLE, THRESHOLD = 5, 85
 BANDS = {85: 20, 80: 30}
 ROWS = 4
 PERMUTATIONS = max(BANDS.values()) * ROWS // 2
-SALT_STEP = 256
+SALT_STEP = 16
 PIVOT_LOAD = 2000
 NO_ID = -(1 << 63)
 BLOCK = 1 << 14
