@@ -18,7 +18,7 @@ totals of these, two words and two bigrams for each shard, are added up on the d
 
 Scores. The blocks' n-grams are dealt to the parts once more (which takes less disk than keeping them there). Each part
 looks them up in its shard, and sends back the probabilities, in the order of the block's n-grams, and the block's task
-puts them together. So a task opens one shard, and
+puts them together, ROUNDS groups of blocks after one another. So a task opens one shard, and
 never the trie as a whole, however large it grows. Level 1 alone is read by all tasks.
 
 Smoothing. Interpolated absolute discounting: p(w|c) = (n(cw) - D) / n(c) + g(c) p(w|c'), g(c) = D times the distinct
@@ -55,8 +55,11 @@ DISCOUNT = 0.75
 SHARD_WORDS, BLOCK_TOKENS, PART_TOKENS, SAMPLES = 1_000_000, 1_500_000, 2_000_000, 64
 SLICE_BYTES, LOOK_UPS = 1 << 20, 200_000
 FOLDS, HELD_FOLD = 7, 2
+#: Groups of blocks that are scored one after another: what is on its way to the parts and back is never more than a group's.
+ROUNDS = 4
 END = xxhash.xxh3_64_intdigest(b"")
 SIGN = np.uint64(1 << 63)
+SCORED = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
 #: Quantisation: log10 values from LEAST to 0 in 65534 steps; NONE stands for a probability of nought.
 LEAST, STEPS, NONE = -13.0, 65534, 65535
 
@@ -335,14 +338,22 @@ class Grams:
 
 @dataclass
 class Blocks:
-    """Texts as ids: a table of (number, name) of the blocks, a file for each, how many there are, and their tokens."""
+    """Texts as ids: the names of the blocks, a file for each, and their tokens."""
 
-    table: DataFrame
-    count: int
+    spark: SparkSession
+    names: list[str]
     folder: str
     tokens: int
     cuts: list[tuple[int, int, int]]
 
+    def table(self) -> DataFrame:
+        """number, name of the blocks, one in a partition."""
+        return self.spark.createDataFrame(list(enumerate(self.names)), "number int, name string").repartitionById(max(1, len(self.names)), F.col("number"))
+
+    def rounds(self) -> list[Blocks]:
+        """The blocks in ROUNDS groups."""
+        return [Blocks(self.spark, self.names[k::ROUNDS], self.folder, self.tokens, self.cuts) for k in range(ROUNDS) if self.names[k::ROUNDS]]
+
 
 def encode(docs: DataFrame, train: Column, words: Words, folder: str) -> Blocks:
     """Tokenises all texts and stores them as ids; samples tokens with the two behind them to cut the ranges of parts."""
@@ -376,9 +387,9 @@ def encode(docs: DataFrame, train: Column, words: Words, folder: str) -> Blocks:
         order = np.lexsort((c, b, a))
         picked = order[np.arange(1, n) * len(order) // n]
         cuts = sorted(set(zip(a[picked].tolist(), b[picked].tolist(), c[picked].tolist(), strict=True)))
-    names = [(k, r.block) for k, r in enumerate(table.select("block").collect())]
+    names = sorted(r.block for r in table.select("block").collect())
     _drop(table)
-    return Blocks(spark.createDataFrame(names, "number int, name string"), len(names), folder, total, cuts)
+    return Blocks(spark, names, folder, total, cuts)
 
 
 def _texts(held: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -389,7 +400,7 @@ def _texts(held: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def _dealt(blocks: Blocks, count: int) -> DataFrame:
     """part, block (its number), grams: each block's distinct trigrams of each part, packed: first words, pairs of each, second words, trigrams of each, third words, counts in training."""
-    folder, shared = blocks.folder, blocks.table.sparkSession.sparkContext.broadcast(blocks.cuts)
+    folder, shared = blocks.folder, blocks.spark.sparkContext.broadcast(blocks.cuts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -404,7 +415,7 @@ def _dealt(blocks: Blocks, count: int) -> DataFrame:
                     blob = pack([words, pairs, seconds, children, grams.c[low:high], n[low:high]])
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([number], pa.int32()), pa.array([blob])], ["part", "block", "grams"])
 
-    return blocks.table.repartitionById(max(1, blocks.count), F.col("number")).mapInArrow(run, "part int, block int, grams binary")
+    return blocks.table().mapInArrow(run, "part int, block int, grams binary")
 
 
 def _at_parts(blocks: Blocks, count: int) -> DataFrame:
@@ -571,7 +582,7 @@ def answer(part: Part, shard: TrieShard | None, grams: list[np.ndarray]) -> list
 
 def train_trie(blocks: Blocks, words: Words) -> Trie:
     """Levels 2 and 3 of the blocks' training texts."""
-    spark, folder, count = blocks.table.sparkSession, blocks.folder, words.count
+    spark, folder, count = blocks.spark, blocks.folder, words.count
     trie = Trie(words, blocks.cuts)
     if not blocks.tokens:
         return trie
@@ -617,7 +628,7 @@ def train_trie(blocks: Blocks, words: Words) -> Trie:
 
 def _answers(blocks: Blocks, trie: Trie) -> DataFrame:
     """block, part, found: what each part has of each block's n-grams."""
-    spark, count = blocks.table.sparkSession, trie.words.count
+    spark, count = blocks.spark, trie.words.count
     shared = spark.sparkContext.broadcast({p.number: p for p in trie.parts})
 
     def answered(number: int, names: list[int], asked: list[list[np.ndarray]], shard: TrieShard | None) -> pa.RecordBatch:
@@ -670,10 +681,8 @@ def _scores(held: dict[str, np.ndarray], found: list[bytes], trie: Trie) -> tupl
 
 def score(blocks: Blocks, trie: Trie) -> DataFrame:
     """doc_id, train, n_tokens, n_known, base_score, score of each row."""
-    spark, folder = blocks.table.sparkSession, blocks.folder
+    spark, folder = blocks.spark, blocks.folder
     shared = spark.sparkContext.broadcast(Trie(trie.words, trie.cuts))
-    kinds = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, score double"
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_key(batches, 0):
             held = load_arrays(f"{folder}/block-{rows[0][3]}")
@@ -683,10 +692,10 @@ def score(blocks: Blocks, trie: Trie) -> DataFrame:
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.array(held["train"])), *cols], ["doc_id", "train", "n_tokens", "n_known", "base_score", "score"])
 
     # A block of texts without pairs has no answers, and is there all the same: its name comes as part -1.
-    every = blocks.table.select(F.col("number").alias("block"), F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("found"), "name")
+    every = blocks.table().select(F.col("number").alias("block"), F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("found"), "name")
     answers = every if not trie.parts else _answers(blocks, trie).withColumn("name", F.lit(None).cast("string")).unionByName(every)
-    dealt = answers.repartitionById(max(1, blocks.count), F.col("block")).sortWithinPartitions("block", "part")
-    return dealt.mapInArrow(run, kinds)
+    dealt = answers.repartitionById(max(1, len(blocks.names)), F.col("block")).sortWithinPartitions("block", "part")
+    return dealt.mapInArrow(run, SCORED)
 
 
 def op6(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -698,4 +707,8 @@ def op6(spark: SparkSession, docs: DataFrame) -> DataFrame:
     blocks = encode(docs, train, words, folder)
     trie = train_trie(blocks, words)
     release(spark)
-    return score(blocks, trie).select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    scored = spark.createDataFrame([], SCORED)
+    for some in blocks.rounds():
+        scored = scored.unionByName(written(score(some, trie), "scores"))
+        release(spark)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score")
