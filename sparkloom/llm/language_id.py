@@ -148,8 +148,8 @@ def _votes(found: DataFrame, key: str, languages: list[str]) -> DataFrame:
     return found.groupBy(key).agg(F.array(*[F.count(F.when(F.col("vote") == lang, 1)) for lang in languages]).alias("votes"), F.count(F.lit(1)).alias("size"))
 
 
-def _smoothed(votes: Column, wider: Column) -> Column:
-    n = F.aggregate(votes, F.lit(0).cast("long"), lambda a, x: a + x)
+def _smoothed(votes: Column, n: Column, wider: Column) -> Column:
+    """n: all votes, added up beforehand and not again for each language."""
     return F.zip_with(votes, wider, lambda v, p: (v + PRIOR_WEIGHT * p) / (n + PRIOR_WEIGHT))
 
 
@@ -165,7 +165,9 @@ def _host_votes(found: DataFrame, languages: list[str]) -> tuple[DataFrame, list
     for key in ("parent", "suffix"):
         wider = hosts.groupBy(key).agg(*add, F.count(F.lit(1)).alias("hosts")).select(key, "hosts", whole.alias(f"votes_of_{key}"))
         hosts = join_groups(hosts, written(wider, f"{key}-votes"), key, "hosts", n).drop("hosts")
-    return written(hosts.select("host", "size", "votes", "votes_of_parent", "votes_of_suffix"), "host-priors"), total
+    kinds = ("votes", "votes_of_parent", "votes_of_suffix")
+    sums = [F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x).alias(f"n_{c}") for c in kinds]
+    return written(hosts.select("host", "size", *kinds, *sums), "host-priors"), total
 
 
 def identify(rows: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
@@ -193,7 +195,9 @@ def identify(rows: DataFrame, languages: list[str], table: np.ndarray) -> DataFr
     others = lambda votes: F.zip_with(votes, mine, lambda a, b: a - b)
     n = F.lit(sum(total) + len(languages)) - F.col("vote").isNotNull().cast("long")
     base = F.transform(others(F.array(*[F.lit(x).cast("long") for x in total])), lambda v: (v + 1) / n)
-    narrow = _smoothed(others(F.col("votes")), _smoothed(others(F.col("votes_of_parent")), _smoothed(others(F.col("votes_of_suffix")), base)))
+    narrow = base
+    for kind in ("votes_of_suffix", "votes_of_parent", "votes"):
+        narrow = _smoothed(others(F.col(kind)), F.col(f"n_{kind}") - F.col("vote").isNotNull().cast("long"), narrow)
     fused = fused.withColumn("prior", F.when(F.col("host") == "", base).otherwise(narrow))
     fused = fused.withColumn("logs", F.zip_with("own", "prior", lambda a, p: a + F.log(p)))
     top = F.array_max("logs")
