@@ -34,8 +34,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-from sparkloom.llm.common import join_groups, numbered, place_of, slices, written
+from sparkloom.llm.common import SLICE_ROWS, join_groups, numbered, place_of, slices, written
 
 BUCKETS = 4096
 #: Languages whose totals a task holds at once.
@@ -119,8 +120,10 @@ def train_folds(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
 
 
 def text_evidence(rows: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
-    """rows (row, text, fold): row, n_grams, and evidence: tempered log-likelihood of the text under each language, relative to none.
+    """rows (row, text, fold, said): row, n_grams, own and vote.
 
+    said is the number of the declared language, or null. own has the log-odds of each language against none, by tempered
+    likelihood of the text and by declaration; vote is the number of the best, null where neither says anything.
     table: what train() or train_folds() gives; the fold counts with the latter only.
     """
     tables = table if table.ndim == 3 else np.repeat(table[None], FOLDS, 0)
@@ -131,43 +134,81 @@ def text_evidence(rows: DataFrame, languages: list[str], table: np.ndarray) -> D
         for batch in batches:
             for part in slices(batch, 1):
                 counts = np.stack([gram_counts(t) for t in part.column(1).to_pylist()])
-                n, fold = counts.sum(1), part.column(2).to_numpy()
-                scores = np.zeros((len(n), odds.shape[1]))
+                n, fold, said = counts.sum(1), part.column(2).to_numpy(), _numbers(part.column(3))
+                own = np.zeros((len(n), odds.shape[1]))
                 for f in np.unique(fold):
-                    scores[fold == f] = counts[fold == f] @ odds[f].T
-                scores *= (TEMPER / (TEMPER + n))[:, None]
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * odds.shape[1], pa.int32()), pa.array(scores.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int64)), flat], ["row", "n_grams", "evidence"])
+                    own[fold == f] = counts[fold == f] @ odds[f].T
+                own *= (TEMPER / (TEMPER + n))[:, None]
+                declared = said >= 0
+                own[declared] += np.log((1 - DECLARED_TRUST) / max(1, own.shape[1] - 1))
+                own[declared, said[declared]] += np.log(DECLARED_TRUST) - np.log((1 - DECLARED_TRUST) / max(1, own.shape[1] - 1))
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * own.shape[1], pa.int32()), pa.array(own.ravel()))
+                vote = pa.array(own.argmax(1), pa.int32(), mask=(n == 0) & ~declared)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n.astype(np.int64)), flat, vote], ["row", "n_grams", "own", "vote"])
 
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, n_grams long, evidence array<double>")
+    return rows.mapInArrow(run, StructType([rows.schema["row"]]).add("n_grams", "long").add("own", ArrayType(DoubleType())).add("vote", "integer"))
 
 
-def _votes(found: DataFrame, key: str, languages: list[str]) -> DataFrame:
-    """key, votes: how many rows of the key each language leads."""
-    return found.groupBy(key).agg(F.array(*[F.count(F.when(F.col("vote") == lang, 1)) for lang in languages]).alias("votes"), F.count(F.lit(1)).alias("size"))
+def _numbers(column: pa.Array) -> np.ndarray:
+    """A column of languages' numbers, -1 for null."""
+    return pc.fill_null(column, -1).to_numpy(zero_copy_only=False)
 
 
-def _smoothed(votes: Column, n: Column, wider: Column) -> Column:
-    """n: all votes, added up beforehand and not again for each language."""
-    return F.zip_with(votes, wider, lambda v, p: (v + PRIOR_WEIGHT * p) / (n + PRIOR_WEIGHT))
+def _host_votes(found: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """host, size, and the votes (vote, n) of the host, of its parent domain and of its suffix; the votes of all.
 
-
-def _host_votes(found: DataFrame, languages: list[str]) -> tuple[DataFrame, list[int]]:
-    """host, size, and the votes of the host, of its parent domain and of its suffix; the votes of all."""
+    A group has one vote for each language at most.
+    """
     suffix = F.substring_index("host", ".", -1)
     parent = F.when(F.size(F.split("host", r"\.")) > 2, F.substring_index("host", ".", -2)).otherwise(F.col("host"))
-    hosts = written(_votes(found, "host", languages).withColumns({"suffix": suffix, "parent": parent}), "host-votes")
-    add = [F.sum(F.get("votes", F.lit(i))).alias(f"v{i}") for i in range(len(languages))]
-    whole = F.array(*[F.col(f"v{i}") for i in range(len(languages))])
-    n = hosts.count()
-    total = [x or 0 for x in hosts.agg(*add).first()]
+    counted = written(found.groupBy("host", "vote").agg(F.count(F.lit(1)).alias("n")).withColumns({"suffix": suffix, "parent": parent}), "votes")
+    packed = F.collect_list(F.when(F.col("vote").isNotNull(), F.struct("vote", "n")))
+    hosts = counted.groupBy("host", "parent", "suffix").agg(packed.alias("votes"), F.sum("n").alias("size"))
+    n = counted.count()
     for key in ("parent", "suffix"):
-        wider = hosts.groupBy(key).agg(*add, F.count(F.lit(1)).alias("hosts")).select(key, "hosts", whole.alias(f"votes_of_{key}"))
-        hosts = join_groups(hosts, written(wider, f"{key}-votes"), key, "hosts", n).drop("hosts")
-    kinds = ("votes", "votes_of_parent", "votes_of_suffix")
-    sums = [F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x).alias(f"n_{c}") for c in kinds]
-    return written(hosts.select("host", "size", *kinds, *sums), "host-priors"), total
+        wider = counted.groupBy(key, "vote").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("hosts"))
+        wider = wider.groupBy(key).agg(packed.alias(f"votes_of_{key}"), F.sum("hosts").alias("hosts"))
+        hosts = join_groups(written(hosts, "host-votes"), written(wider, f"{key}-votes"), key, "hosts", n).drop("hosts")
+    total = counted.where("vote IS NOT NULL").groupBy("vote").agg(F.sum("n")).collect()
+    return written(hosts.select("host", "size", "votes", "votes_of_parent", "votes_of_suffix"), "host-priors"), [tuple(r) for r in total]
+
+
+def _fused(rows: DataFrame, languages: list[str], total: list[tuple[int, int]]) -> DataFrame:
+    """rows (row, n_grams, own, vote, host and the three kinds of votes): row, n_grams, lang, confidence, accepted."""
+    width = len(languages)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, whole = pa.array(languages, pa.string()), np.zeros(width)
+        for vote, n in total:
+            whole[vote] = n
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(at, SLICE_ROWS)
+                vote, own = _numbers(part.column("vote")), part.column("own").flatten().to_numpy().reshape(-1, width)
+                some, lines = vote >= 0, np.arange(part.num_rows)
+                # The page's own vote is in the votes of its host and all that is wider: it comes off each.
+                mine = np.zeros(own.shape)
+                mine[lines[some], vote[some]] = 1
+                base = whole - mine + 1
+                base /= base.sum(1, keepdims=True)
+                prior = base
+                for kind in ("votes_of_suffix", "votes_of_parent", "votes"):
+                    lists = part.column(kind)
+                    of, n = lists.flatten().flatten()
+                    others = -mine
+                    others[np.repeat(lines, pc.list_value_length(lists).to_numpy()), of.to_numpy()] += n.to_numpy()
+                    prior = (others + PRIOR_WEIGHT * prior) / (others.sum(1, keepdims=True) + PRIOR_WEIGHT)
+                nowhere = pc.equal(part.column("host"), "").to_numpy(zero_copy_only=False)
+                logs = own + np.log(np.where(nowhere[:, None], base, prior))
+                top = logs.max(1)
+                with np.errstate(over="ignore"):  # beyond all numbers: no confidence at all
+                    # The unknown language has no evidence for it and the prior of one vote among the host's.
+                    rest = np.exp(np.log(UNKNOWN_PRIOR) - top) + np.exp(logs - top[:, None]).sum(1)
+                confidence = np.where(some, 1 / rest, 0.0)
+                lang = names.take(pa.array(logs.argmax(1), pa.int32(), mask=~some))
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("n_grams"), lang, pa.array(confidence), pa.array(some & (confidence >= LEAST_CONFIDENCE))], ["row", "n_grams", "lang", "confidence", "accepted"])
+
+    return rows.mapInArrow(run, StructType([rows.schema["row"]]).add("n_grams", "long").add("lang", "string").add("confidence", "double").add("accepted", "boolean"))
 
 
 def identify(rows: DataFrame, languages: list[str], table: np.ndarray) -> DataFrame:
@@ -178,35 +219,13 @@ def identify(rows: DataFrame, languages: list[str], table: np.ndarray) -> DataFr
     if not languages:
         return rows.select("row", F.lit(0).cast("long").alias("n_grams"), F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), F.lit(False).alias("accepted"))
     names = F.array(*[F.lit(x) for x in languages])
-    host = F.coalesce(F.col("host"), F.lit(""))
-    kept = rows.select(F.struct("row", F.col("declared").alias("declared"), host.alias("host")).alias("row"), F.col("text").cast("binary").alias("text"), fold_of(F.col("text")).alias("fold"))
-    read = text_evidence(kept, languages, table).select("row.row", F.lower("row.declared").alias("declared"), "row.host", "n_grams", "evidence")
     # A declaration "de-AT" declares "de". One that names none of the languages says nothing.
-    said = F.substring_index(F.coalesce("declared", F.lit("")), "-", 1)
-    trust = F.transform(names, lambda x: F.when(~F.array_contains(names, said), 0.0).when(x == said, float(np.log(DECLARED_TRUST))).otherwise(float(np.log((1 - DECLARED_TRUST) / max(1, len(languages) - 1)))))
-    found = read.withColumn("own", F.zip_with("evidence", trust, lambda a, b: a + b))
-    best = F.array_max("own")
-    found = found.withColumn("vote", F.when((F.col("n_grams") > 0) | F.array_contains(names, said), F.element_at(names, F.array_position("own", best).cast("int"))))
-    found = written(found.select("row", "host", "n_grams", "own", "vote"), "language-evidence")
-    votes, total = _host_votes(found, languages)
-    fused = join_groups(found, votes, "host", "size", found.count())
-    # The page's own vote is in the votes of its host and all that is wider: it comes off each.
-    mine = F.transform(names, lambda x: F.coalesce(x == F.col("vote"), F.lit(False)).cast("long"))
-    others = lambda votes: F.zip_with(votes, mine, lambda a, b: a - b)
-    n = F.lit(sum(total) + len(languages)) - F.col("vote").isNotNull().cast("long")
-    base = F.transform(others(F.array(*[F.lit(x).cast("long") for x in total])), lambda v: (v + 1) / n)
-    narrow = base
-    for kind in ("votes_of_suffix", "votes_of_parent", "votes"):
-        narrow = _smoothed(others(F.col(kind)), F.col(f"n_{kind}") - F.col("vote").isNotNull().cast("long"), narrow)
-    fused = fused.withColumn("prior", F.when(F.col("host") == "", base).otherwise(narrow))
-    fused = fused.withColumn("logs", F.zip_with("own", "prior", lambda a, p: a + F.log(p)))
-    top = F.array_max("logs")
-    # The unknown language has no evidence for it and the prior of one vote among the host's.
-    rest = F.aggregate("logs", F.exp(F.lit(float(np.log(UNKNOWN_PRIOR))) - top), lambda s, x: s + F.exp(x - top))
-    confidence = 1 / rest
-    some = F.col("vote").isNotNull()
-    lang = F.when(some, F.element_at(names, F.array_position("logs", top).cast("int")))
-    return fused.select("row", "n_grams", lang.alias("lang"), F.when(some, confidence).otherwise(0.0).alias("confidence"), (some & (confidence >= LEAST_CONFIDENCE)).alias("accepted"))
+    place = F.array_position(names, F.substring_index(F.lower(F.coalesce("declared", F.lit(""))), "-", 1)).cast("int")
+    host = F.coalesce(F.col("host"), F.lit(""))
+    kept = rows.select(F.struct("row", host.alias("host")).alias("row"), F.col("text").cast("binary").alias("text"), fold_of(F.col("text")).alias("fold"), F.when(place > 0, place - 1).alias("said"))
+    found = written(text_evidence(kept, languages, table).select("row.row", "row.host", "n_grams", "own", "vote"), "language-evidence")
+    votes, total = _host_votes(found)
+    return _fused(join_groups(found, votes, "host", "size", found.count()), languages, total)
 
 
 def host_of(url: Column) -> Column:

@@ -61,6 +61,13 @@ def test_wrong_labels_and_texts_of_no_language_go(spark):
     assert len(clean - {d[0] for d in wrong} - left) <= 2
 
 
+def test_pipeline_stage_with_many_labels(spark):
+    docs = [list(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source").collect()]
+    docs += [[10**6 + i, f"dirty label {i} on a text", f"label {i}", f"h{i % 7}.example.com"] for i in range(300)]
+    left = language_id.keep_identified(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()
+    assert sorted(r.doc_id for r in left) == sorted(d[0] for d in brute.identified([tuple(d) for d in docs]))
+
+
 def test_pipeline_is_its_stages(spark):
     import corpus_pipeline
 
