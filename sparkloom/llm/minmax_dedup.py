@@ -14,10 +14,13 @@ confirmed on the full sets, and pairs that can't join two components are not mad
 2. in buckets that still hold several components, the shingles that one document alone has are counted. The document
    with the fewest is the most central one, and the others are tested against it. A pair x, y of the bucket has at
    most min(|x & p|, |y & p|) + min(x', y') shingles in common, p being the central document and x' what x shares
-   with anyone but p: in a large group of copies, each edited in its own way, this rules out all pairs but those
-   that share edits, and members that can reach no other are done with;
+   with anyone but p: in a large group of copies, each edited in its own way, this rules out many pairs, and members
+   that can reach no other are done with;
 3. what is left is tested against the most central documents of 16, 256, ... parts of the bucket, until the buckets'
-   untested members lie in one component each.
+   untested members lie in one component each. By then p may be an edited copy itself, so that all others share what p
+   lost. Each document's shared shingles are therefore counted by SLICES ranges of their hashes: a pair has at most the
+   sum over all slices of the lesser count in common, so documents that lost different shingles of what the
+   group has in common are told apart without their texts.
 
 Nothing is left out but by these exact bounds, and the rounds end by themselves. A pivot with many members is sent to
 several tasks, its members dealt among them.
@@ -47,6 +50,8 @@ ROWS = 4
 PERMUTATIONS = max(BANDS.values()) * ROWS // 2
 SALT_STEP = 16
 PIVOT_LOAD = 2000
+#: Number of parts of the shingles' hashes by which shared shingles are counted.
+SLICES = 256
 NO_ID = -(1 << 63)
 BLOCK = 1 << 14
 
@@ -150,7 +155,7 @@ def confirm(texts: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def private_counts(texts: DataFrame) -> DataFrame:
-    """(id, own): how many shingles of each document no other document of texts has; documents without any are left out."""
+    """(id, own, slices): how many shingles of each document no other document of texts has, and how many others in each slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,8 +164,25 @@ def private_counts(texts: DataFrame) -> DataFrame:
                 ids = np.repeat(part.column(0).to_numpy(), [len(x) for x in sets])
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], ["id", "s"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                counts = [np.bincount(shingles(t) & np.uint64(SLICES - 1), minlength=SLICES) for t in part.column(1).to_pylist()]
+                ends = pa.array(np.arange(part.num_rows + 1) * SLICES, pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(counts), pa.int32()))], ["id", "every"])
+
     rows = texts.select("id", "text").mapInArrow(run, "id long, s long")
-    return rows.groupBy("s").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).where("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    private = rows.groupBy("s").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).where("n = 1")
+    by_slice = private.groupBy("id", F.pmod("s", F.lit(SLICES)).cast("int").alias("slice")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    own = by_slice.groupBy("id").agg(F.sum("n").alias("own"), F.map_from_entries(F.collect_list(F.struct("slice", "n"))).alias("private"))
+    found = texts.select("id", "text").mapInArrow(count, "id long, every array<int>").join(own.hint("merge"), "id", "left")
+    others = F.transform("every", lambda n, i: n - F.coalesce(F.element_at("private", i), F.lit(0)))
+    return found.select("id", F.coalesce("own", F.lit(0)).alias("own"), F.when(F.col("private").isNull(), F.col("every")).otherwise(others).alias("slices"))
+
+
+def most_common(x: Column, y: Column) -> Column:
+    """No two sets with these counts by slice have more elements in common."""
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.least(a, b)), F.lit(0), lambda total, n: total + n)
 
 
 def may_link(common: Column, sizes: Column, threshold: int) -> Column:
@@ -219,8 +241,11 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
         # Round 2: what each document shares with no other bounds what it can share with anyone. The document with the
         # least of its own is the most central one; what the others share with it bounds all other pairs of the bucket.
         texts = written(texts.join(live.select("id").distinct().hint("merge"), "id", "left_semi"), "texts")
-        own = written(private_counts(texts), "own")
-        live = live.join(own.hint("merge"), "id", "left").withColumn("own", F.coalesce("own", F.lit(0)) if single else F.lit(0).cast("long"))
+        own = written(private_counts(texts), "own") if single else None
+        if single:
+            live = live.join(own.hint("merge"), "id")
+        else:
+            live = live.withColumns({"own": F.lit(0).cast("long"), "slices": F.array().cast("array<int>")})
         live = written(_open(live.withColumn("shared", F.col("n") - F.col("own")), threshold), "live")
         pivots = written(live.groupBy("bucket").agg(F.min(F.struct("own", "id")).alias("p")).select("bucket", F.col("p.id").alias("pivot")), "pivots")
         tested = test(written(live.join(pivots.hint("merge"), "bucket").where("id <> pivot").select(F.col("id").alias("member"), "pivot").distinct(), "pairs"))
@@ -235,12 +260,12 @@ def near_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     while not live.isEmpty():
         # Later rounds: what is left, against the most central documents of ever more parts of the bucket.
         salts *= SALT_STEP
-        chosen = live.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(salts)).alias("s")).agg(F.min(F.struct("own", "id", "n", "c", "shared", "extra")).alias("p"))
-        pivots = written(chosen.select("bucket", F.col("p.id").alias("pivot"), *[F.col(f"p.{x}").alias(f"p_{x}") for x in ("n", "c", "shared", "extra")]), "pivots")
+        chosen = live.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(salts)).alias("s")).agg(F.min(F.struct("own", "id", "n", "c", "shared", "extra", "slices")).alias("p"))
+        pivots = written(chosen.select("bucket", F.col("p.id").alias("pivot"), *[F.col(f"p.{x}").alias(f"p_{x}") for x in ("n", "c", "shared", "extra", "slices")]), "pivots")
         pairs = live.join(pivots.hint("merge"), "bucket").where(F.col("c") != F.col("p_c"))
         if single:  # else the pivot's bounds are those of one of its texts, while it leaves the bucket with all of them
             fits = may_link(F.least("shared", "p_shared") + F.least("extra", "p_extra"), F.col("n") + F.col("p_n"), threshold)
-            pairs = pairs.where(fits & (100 * F.least("n", "p_n") >= threshold * F.greatest("n", "p_n")))
+            pairs = pairs.where(fits & (100 * F.least("n", "p_n") >= threshold * F.greatest("n", "p_n")) & may_link(most_common(F.col("slices"), F.col("p_slices")), F.col("n") + F.col("p_n"), threshold))
         pairs = written(pairs.select(F.col("id").alias("member"), "pivot").distinct(), "pairs")
         if not pairs.isEmpty():
             test(pairs)
