@@ -16,21 +16,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_ROWS, SLICE_BYTES = 256, 1 << 20
+#: The temporary folder of sessions on this machine that name none.
+_made: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
     It is what the session names in spark.checkpoint.dir. Only where that is unset and the master is this machine
-    (tests) a temporary folder is made and set; on a cluster there is no folder that could be guessed.
+    (tests) a temporary folder is made, one for each process; on a cluster there is no folder that could be guessed.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _made.get("folder")
     if not folder:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="sparkloom-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
+        _made["folder"] = folder  # the session's setting can't be changed while it runs
     return folder.rstrip("/")
 
 
