@@ -193,11 +193,13 @@ def may_link(common: Column, sizes: Column, threshold: int) -> Column:
 def _open(members: DataFrame, threshold: int) -> DataFrame:
     """Members of the buckets in which two components are left, without those that can reach no other member.
 
-    more is the most that a member can have in common with anyone: what it shares with the pivot and what else of it
-    is not its own.
+    shared + extra is the most that a member can have in common with anyone: what it shares with the pivot and what
+    else of it is not its own. Each join is with one row for each bucket, so none makes more rows than members has; those
+    able to reach another are written, as two plans read them.
     """
     spans = members.groupBy("bucket").agg(F.min("n").alias("least"))
     able = members.join(spans.hint("merge"), "bucket").where(may_link(F.col("shared") + F.col("extra"), F.col("n") + F.col("least"), threshold)).drop("least")
+    able = written(able, "able")
     sides = able.groupBy("bucket").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("bucket")
     return able.join(sides.hint("merge"), "bucket")
 

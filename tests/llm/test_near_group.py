@@ -44,3 +44,24 @@ def test_slices_never_rule_out_what_is_shared(spark, group):
     most = spark.createDataFrame(pairs, "x long, y long, a array<int>, b array<int>").select("x", "y", minmax_dedup.most_common("a", "b").alias("most")).collect()
     assert all(len(sets[r.x] & sets[r.y]) <= r.most for r in most)
     assert sum(r.most - len(sets[r.x] & sets[r.y]) for r in most) < 12 * len(most)  # and close to it
+
+
+def test_members_are_compared_with_their_bucket_once(spark):
+    """The join of _open makes a row for each member at most, in all plans that read it together."""
+    rows = [(b, i, 100, i % 3, 100, 0) for b in range(4) for i in range(150)] + [(9, 1, 100, 7, 100, 0), (9, 2, 100, 7, 100, 0), (9, 3, 100, 7, 10, 0)]
+    members = spark.createDataFrame(rows, "bucket long, id long, n long, c long, shared long, extra long")
+    store, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty(30_000)
+    old = store.executionsList().size()
+    left = minmax_dedup._open(members, 80).collect()
+    bus.waitUntilEmpty(30_000)
+    assert {(r.bucket, r.id) for r in left} == {(r[0], r[1]) for r in rows if r[0] < 9}  # bucket 9 has one component
+    made = 0
+    for i in range(old, store.executionsList().size()):
+        run = store.executionsList().apply(i).executionId()
+        nodes, metrics = store.planGraph(run).allNodes(), store.executionMetrics(run)
+        for node in (nodes.apply(k) for k in range(nodes.size())):
+            if "Join" in node.name() and ">=" in node.desc():
+                found = [node.metrics().apply(k) for k in range(node.metrics().size())]
+                made += sum(int(metrics.apply(m.accumulatorId()).replace(",", "")) for m in found if m.name() == "number of output rows")
+    assert 600 <= made <= len(rows)
